@@ -427,12 +427,15 @@ def registered() -> dict[str, str]:
                dias AS (SELECT cidade_origem, cidade_destino, CAST(unnest(generate_series(
                       a, z, INTERVAL 1 DAY)) AS DATE) AS data FROM rotas
                       WHERE cidade_origem <> cidade_destino)
-            SELECT cidade_origem, cidade_destino, data, CAST(p AS INTEGER) AS partida,
-                   CAST(day(data) AS INTEGER) AS dia, CAST(month(data) AS INTEGER) AS mes,
-                   CAST(year(data) AS INTEGER) AS ano, row_number() OVER (
-                       ORDER BY data, cidade_origem, cidade_destino, p) AS id_voo
-            FROM dias, range(1, 3) r(p)
-            WHERE p <= 1 + length(cidade_origem || cidade_destino) % 2""", "jv"),
+            SELECT data, CAST(day(data) AS INTEGER) AS dia, CAST(month(data) AS INTEGER) AS mes,
+                   CAST(year(data) AS INTEGER) AS ano, cidade_origem, count(*) AS voos,
+                   count(DISTINCT cidade_destino) AS destinos, min(id_voo) AS primeiro,
+                   max(id_voo) AS ultimo, CAST(sum(id_voo) AS BIGINT) AS soma
+            FROM (SELECT data, cidade_origem, cidade_destino, row_number() OVER (
+                      ORDER BY data, cidade_origem, cidade_destino, p) AS id_voo
+                  FROM dias, range(1, 3) r(p)
+                  WHERE p <= 1 + length(cidade_origem || cidade_destino) % 2)
+            GROUP BY ALL""", "jv"),
         "star_assign": """
             SELECT s_suppkey AS id_hotel, CAST(CASE WHEN b < 10 THEN 1 WHEN b < 25 THEN 2
                    WHEN b < 60 THEN 3 WHEN b < 85 THEN 4 ELSE 5 END AS INTEGER) AS estrelas

@@ -555,8 +555,7 @@ def stay_nights(t: Tables) -> DataFrame:
     return expand.stay_nights(stays, "inicio", "noites").drop("inicio", "noites")
 
 
-@_query
-def route_calendar(t: Tables) -> DataFrame:
+def _calendar(t: Tables) -> DataFrame:
     """Departures of every route that sold, on each day from its first to its last sale."""
     period = (
         lookup.enrich(t.flight_events, t.flight_dim)
@@ -568,8 +567,19 @@ def route_calendar(t: Tables) -> DataFrame:
     )
     per_day = 1 + F.length(F.concat("cidade_origem", "cidade_destino")) % 2
     flights = expand.departures(period, "first", "last", per_day)
-    return expand.numbered(
-        flights, "data", ["cidade_origem", "cidade_destino", "partida"], "id_voo"
+    order = ["cidade_origem", "cidade_destino", "partida"]
+    return expand.numbered(flights, "data", order, "id_voo")
+
+
+@_query
+def route_calendar(t: Tables) -> DataFrame:
+    """The whole calendar, shown as the flights of each day and origin and their id range."""
+    return _calendar(t).groupBy("data", "dia", "mes", "ano", "cidade_origem").agg(
+        F.count(F.lit(1)).alias("voos"),
+        F.count_distinct("cidade_destino").alias("destinos"),
+        F.min("id_voo").alias("primeiro"),
+        F.max("id_voo").alias("ultimo"),
+        F.sum("id_voo").alias("soma"),
     )
 
 

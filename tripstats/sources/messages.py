@@ -27,8 +27,15 @@ FLIGHT_EVENT = [
 ]
 
 
-def _json(column: str | Column, schema: str) -> Column:
-    return F.from_json(column, f"{schema}, {_NOT_JSON} STRING", _PERMISSIVE)
+def _with_json(frame: DataFrame, column: str, schema: str, out: str) -> DataFrame:
+    """JSON text parsed to a struct `out`, exactly once per row.
+
+    The struct comes out of a generator because Spark pushes filters below a projection by
+    repeating its expressions: every reference to a field would parse the text again. Filters
+    stop above a generator.
+    """
+    parsed = F.from_json(column, f"{schema}, {_NOT_JSON} STRING", _PERMISSIVE)
+    return frame.select("*", F.explode(F.array(parsed)).alias(out))
 
 
 def _first_reason(*checks: tuple[str, Column]) -> Column:
@@ -38,9 +45,9 @@ def _first_reason(*checks: tuple[str, Column]) -> Column:
 
 def _opened(messages: DataFrame, payload: str) -> DataFrame:
     """Envelope and payload as structs `env` and `p`, the message time as `event_timestamp`."""
+    envelopes = _with_json(messages, "value", ENVELOPE, "env")
     return (
-        messages.withColumn("env", _json("value", ENVELOPE))
-        .withColumn("p", _json("env.data", payload))
+        _with_json(envelopes, "env.data", payload, "p")
         .withColumn("event_timestamp", parse_timestamp("env.timestamp", needs_date=True))
         .withColumn("reserva", parse_timestamp("p.data_reserva"))
     )
