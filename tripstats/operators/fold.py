@@ -25,19 +25,8 @@ def fold(table: StatTable, *parts: DataFrame) -> DataFrame:
     return rows.groupBy("company_id", *table.keys).agg(*_added(table.values))
 
 
-def side_by_side(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Statistic tables as one wide frame tagged with `table`, columns of others null."""
-    tagged = []
-    for name, frame in tables.items():
-        spec = STAT_TABLES[name]
-        tagged.append(
-            frame.select(
-                *(F.col(c).cast(t).alias(c) for c, t in {
-                    "company_id": "string", **spec.keys, **spec.values}.items()),
-                F.lit(name).alias("table"),
-            )
-        )
-    wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+def stamped(wide: DataFrame) -> DataFrame:
+    """Wide rows with their insertion time, columns in store order."""
     return wide.withColumn("inserido_em", F.current_timestamp()).select(*WIDE_COLUMNS)
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstats.functions import exact_add, exact_sum
-from tripstats.operators.rollup import reaggregate
+from tripstats.operators.fold import one_table
+from tripstats.schemas import ALL_KEYS, ALL_VALUES, STAT_TABLES
 
 
 def revenue(cube: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -41,9 +42,13 @@ def city_revenue(city_month: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _both(hotels: DataFrame, flights: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+def _check_how(how: str) -> None:
     if how not in ("inner", "full"):
         raise ValueError("how is 'inner' (one-sided keys drop) or 'full' (the other side is 0)")
+
+
+def _both(hotels: DataFrame, flights: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    _check_how(how)
     return hotels.join(flights, list(on), how)
 
 
@@ -112,42 +117,125 @@ def ticket_inputs(
     )
 
 
-def all_statistics(
+# Which group feeds which table, when, and with what. The axis is the column a group is keyed by
+# besides the company.
+_FEEDS: dict[str, tuple[str, str, dict[str, str]]] = {
+    "stats_month_hotel": ("mes", "h_num > 0", {"mes_reserva": "mes", "sum_valor": "h_valor"}),
+    "stats_city_hotel": ("cidade", "h_num > 0", {"cidade": "cidade", "sum_valor": "h_valor"}),
+    "stats_month_voos": ("mes", "f_num > 0", {"mes_reserva": "mes", "sum_valor": "f_valor"}),
+    "stats_city_voos": (
+        "cidade", "f_num > 0", {"cidade_destino": "cidade", "sum_valor": "f_valor"}
+    ),
+    "stats_faturamentos_totais": (
+        "mes", "joined", {"mes_reserva": "mes", "total_valor": "t_valor"}
+    ),
+    "stats_ticket_medio": (
+        "cidade",
+        "joined",
+        {"cidade_destino": "cidade", "sum_valor": "t_valor", "num_transacoes": "t_meses"},
+    ),
+    "stats_month_hotel_count": (
+        "mes", "h_num > 0", {"mes_reserva": "mes", "num_hoteis_reservados": "h_num"}
+    ),
+    "stats_stars_hotel": (
+        "estrelas", "h_num > 0", {"estrelas": "estrelas", "num_reservas": "h_num"}
+    ),
+    "stats_estrelas_medias_mes": (
+        "mes",
+        "h_num > 0",
+        {"mes_reserva": "mes", "sum_estrelas": "h_estrelas", "num_reservas": "h_num"},
+    ),
+    "stats_month_sp_voos": ("mes", "c_num > 0", {"mes": "mes", "num_voos_reservados": "c_num"}),
+    "stats_day_sp_voos": ("dia", "c_num > 0", {"data_reserva": "dia", "num_reservas": "c_num"}),
+}
+_AXES = ["mes", "cidade", "estrelas", "dia"]
+_JOINED = {
+    # An inner join needs both sides and a key; a full one either side.
+    "inner": "h_num > 0 AND f_num > 0 AND company_id IS NOT NULL"
+    " AND (mes IS NOT NULL OR cidade IS NOT NULL)",
+    "full": "h_num > 0 OR f_num > 0",
+}
+
+
+def _month_bit(month: str) -> str:
+    return f"shiftleft(1, coalesce({month}, 0))"
+
+
+def wide_statistics(
     hotels: DataFrame, flights: DataFrame, also: Sequence[str] = (), how: str = "inner"
-) -> dict[str, DataFrame]:
-    """All eleven tables from the hotel and the flight cube.
+) -> DataFrame:
+    """All eleven tables, side by side, from the hotel and the flight cube in one aggregation.
 
-    Persist or write the cubes first: each table is its own plan over them. With
-    `also=["batch_id"]` every batch gets its own rows.
+    Hotels and flights are stacked and grouped by month, city, stars and day at once (grouping
+    sets). Each group then unfolds into the tables it feeds; "months both sides have" is a test
+    on the group, so nothing is joined. Month groups of a city are counted from a bit mask of
+    months, which unlike a distinct count adds up in partial aggregates. With
+    `also=["batch_id"]` every batch gets its own rows; `how` is as in `combined_revenue`.
     """
+    _check_how(how)
     base = [*also, "company_id"]
-    month = [*base, "mes_reserva"]
-    flights = flights.withColumn("mes_reserva", F.month("dia_reserva"))
-
-    hotel_city_month = reaggregate(hotels, [*base, "cidade", "mes_reserva"])
-    flight_city_month = reaggregate(flights, [*base, "cidade_destino", "mes_reserva"])
-    hotel_city = city_revenue(hotel_city_month, [*base, "cidade"])
-    flight_city = city_revenue(flight_city_month, [*base, "cidade_destino"])
-    hotel_month = revenue(hotels, month)
-    flight_month = revenue(flights, month)
-    of_city = flights.where("na_cidade")
-
-    return {
-        "stats_month_hotel": hotel_month,
-        "stats_city_hotel": hotel_city.drop("num_reservas"),
-        "stats_month_voos": flight_month,
-        "stats_city_voos": flight_city.drop("num_reservas"),
-        "stats_faturamentos_totais": combined_revenue(hotel_month, flight_month, month, how),
-        "stats_ticket_medio": ticket_inputs(
-            hotel_city, flight_city, [*base, "cidade_destino"], how
-        ),
-        "stats_month_hotel_count": bookings(hotels, month, "num_hoteis_reservados"),
-        "stats_stars_hotel": bookings(hotels, [*base, "estrelas"]),
-        "stats_estrelas_medias_mes": star_parts(hotels, month),
-        "stats_month_sp_voos": bookings(
-            of_city.withColumnRenamed("mes_reserva", "mes"), [*base, "mes"], "num_voos_reservados"
-        ),
-        "stats_day_sp_voos": bookings(
-            of_city.withColumnRenamed("dia_reserva", "data_reserva"), [*base, "data_reserva"]
-        ),
-    }
+    hotel_rows = hotels.selectExpr(
+        *base,
+        "mes_reserva AS mes",
+        "cidade",
+        "estrelas",
+        "sum_valor AS h_valor",
+        "num_reservas AS h_num",
+        "estrelas * num_reservas AS h_estrelas",
+        f"{_month_bit('mes_reserva')} AS h_meses",
+    )
+    flight_rows = flights.selectExpr(
+        *base,
+        "month(dia_reserva) AS mes",
+        "cidade_destino AS cidade",
+        "dia_reserva AS dia",
+        "sum_valor AS f_valor",
+        "num_reservas AS f_num",
+        "CASE WHEN na_cidade THEN num_reservas END AS c_num",
+        f"{_month_bit('month(dia_reserva)')} AS f_meses",
+    )
+    stacked = hotel_rows.unionByName(flight_rows, allowMissingColumns=True)
+    groups = (
+        stacked.groupingSets([[*base, axis] for axis in _AXES], *base, *_AXES)
+        .agg(
+            *(F.grouping(axis).alias(f"no_{axis}") for axis in _AXES),
+            *(exact_sum(v).alias(v) for v in ("h_valor", "f_valor")),
+            *(F.sum(v).alias(v) for v in ("h_num", "f_num", "c_num", "h_estrelas")),
+            *(F.bit_count(F.bit_or(v)).alias(v) for v in ("h_meses", "f_meses")),
+        )
+        .selectExpr(
+            "*",
+            "CASE WHEN h_num > 0 THEN 1 END AS _h",
+            "CASE WHEN f_num > 0 THEN 1 END AS _f",
+            f"{_JOINED[how]} AS joined",
+        )
+        .withColumns(
+            {"t_valor": _amounts("h_valor", "f_valor"), "t_meses": _counts("h_meses", "f_meses")}
+        )
+    )
+    fed = [
+        f"CASE WHEN no_{axis} = 0 AND {condition} THEN '{name}' END"
+        for name, (axis, condition, _) in _FEEDS.items()
+    ]
+    unfolded = groups.selectExpr(
+        "*", f"explode(array_compact(array({', '.join(fed)}))) AS table"
+    )
+
+    def filled(column: str, kind: str) -> str:
+        cases = [
+            f"WHEN '{name}' THEN {values[column]}"
+            for name, (_, _, values) in _FEEDS.items()
+            if column in values
+        ]
+        return f"CAST(CASE table {' '.join(cases)} END AS {kind}) AS {column}"
+
+    columns = {**ALL_KEYS, **ALL_VALUES}
+    return unfolded.selectExpr(*base, *(filled(c, k) for c, k in columns.items()), "table")
+
+
+def all_statistics(
+    hotels: DataFrame, flights: DataFrame, also: Sequence[str] = (), how: str = "inner"
+) -> dict[str, DataFrame]:
+    """`wide_statistics` as one frame per table."""
+    wide = wide_statistics(hotels, flights, also, how)
+    return {name: one_table(wide, table, *also) for name, table in STAT_TABLES.items()}

@@ -11,11 +11,11 @@ from tripstats.functions import normalize_name, weighted_category
 from tripstats.operators import checks, expand, fold, gate, lookup, ranking
 from tripstats.operators.rollup import flight_cube, hotel_cube, rollup
 from tripstats.operators.statistics import (
-    all_statistics,
     city_revenue,
     combined_revenue,
     star_parts,
     ticket_inputs,
+    wide_statistics,
 )
 from tripstats.plans import profile, reports
 from tripstats.plans.tables import Tables
@@ -236,15 +236,15 @@ def ticket_inputs_bookings(t: Tables) -> DataFrame:
 
 def _cubes(t: Tables, also: list[str]) -> tuple[DataFrame, DataFrame]:
     return (
-        t.written(hotel_cube(t.hotel_events, t.hotel_dim, also)),
-        t.written(flight_cube(t.flight_events, t.flight_dim, CITY, also=also)),
+        hotel_cube(t.hotel_events, t.hotel_dim, also),
+        flight_cube(t.flight_events, t.flight_dim, CITY, also=also),
     )
 
 
 @_query
 def all_statistics_wide(t: Tables) -> DataFrame:
     """All eleven tables side by side, from one pass over each kind of event."""
-    return fold.side_by_side(all_statistics(*_cubes(t, []))).drop("inserido_em")
+    return wide_statistics(*_cubes(t, []))
 
 
 # --- messages and the batch gate -------------------------------------------------------------
@@ -360,14 +360,7 @@ def fold_ticket(t: Tables) -> DataFrame:
 
 @_query
 def pending_partials(t: Tables) -> DataFrame:
-    tables = {
-        name: frame.select("batch_id", F.lit(name).alias("table"))
-        for name, frame in all_statistics(*_cubes(t, BATCH), also=BATCH).items()
-    }
-    frames = iter(tables.values())
-    wide = next(frames)
-    for frame in frames:
-        wide = wide.union(frame)
+    wide = wide_statistics(*_cubes(t, BATCH), also=BATCH)
     return fold.pending_counts(wide, FOLDED_UP_TO)
 
 

@@ -74,14 +74,19 @@ class Store:
             "source", "outcome",
         )
 
-    def waiting(self, up_to: int | None = None) -> DataFrame:
+    def landed(self, after: int = -1, up_to: int | None = None) -> DataFrame:
+        """Landed messages of the batches after `after`, up to `up_to` included."""
+        batch = F.col("batch_id")
+        chosen = batch > after if up_to is None else (batch > after) & (batch <= up_to)
+        return self._read("landed", _LANDED).where(chosen)
+
+    def waiting(self) -> DataFrame:
         """Landed messages that no committed run has processed."""
-        landed = self._read("landed", _LANDED).where(F.col("batch_id") > self.processed_up_to())
-        return landed if up_to is None else landed.where(F.col("batch_id") <= up_to)
+        return self.landed(self.processed_up_to())
 
     def rejects(self) -> DataFrame:
         """Every message set aside, with its reason."""
-        rejected = self._read("landed", _LANDED).where(F.col("outcome") == REJECTED)
+        rejected = self.landed().where(F.col("outcome") == REJECTED)
         return rejected.select("batch_id", "source", "reason", "value")
 
     def backlog(self) -> DataFrame:

@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripstats.operators.fold import side_by_side
+from tripstats.operators.fold import stamped
 from tripstats.operators.gate import readiness
 from tripstats.operators.lookup import Dimension
 from tripstats.operators.rollup import flight_cube, hotel_cube
-from tripstats.operators.statistics import all_statistics
+from tripstats.operators.statistics import wide_statistics
 from tripstats.schemas import DEFAULT_CITY, DEFAULT_THRESHOLDS, FLIGHT_SOURCE, HOTEL_SOURCE
 from tripstats.sources.messages import decode_both
 from tripstats.sources.store import USABLE, Store
@@ -40,14 +40,14 @@ class Job:
 
     def __call__(self, decoded: DataFrame, batch_id: int) -> None:
         """One micro-batch."""
-        if batch_id <= self.store.processed_up_to():
-            return
-        self.store.land(decoded, batch_id)
-        self.process(batch_id)
+        done = self.store.processed_up_to()
+        if batch_id > done:
+            self.store.land(decoded, batch_id)
+            self.process(done, batch_id)
 
-    def process(self, batch_id: int) -> bool:
-        """Process all messages waiting up to `batch_id` if every source has enough of them."""
-        waiting = self.store.waiting(batch_id)
+    def process(self, done: int, batch_id: int) -> bool:
+        """Process all messages landed after batch `done` if every source has enough of them."""
+        waiting = self.store.landed(done, batch_id)
         gate = {row["source"]: row for row in readiness(waiting, self.thresholds).collect()}
         if not all(row["source_ready"] for row in gate.values()):
             return False
@@ -66,7 +66,7 @@ class Job:
             ),
         )
         computed = time.perf_counter()
-        self.store.write_partials(side_by_side(all_statistics(*cubes)), batch_id)
+        self.store.write_partials(stamped(wide_statistics(*cubes)), batch_id)
         written = time.perf_counter()
         rows = {
             "hotels": gate[HOTEL_SOURCE]["pending"] if HOTEL_SOURCE in gate else 0,
