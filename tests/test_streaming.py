@@ -92,6 +92,13 @@ def test_second_batch_adds(feed):
     }
     assert f.totals() == doubled
     assert {r["pending"] for r in f.store.pending().collect()} == {0}
+    f.store.prune(keep_versions=1)
+    assert f.totals() == doubled
+    assert f.store.partials("month_hotel").isEmpty()
+    assert f.store.processed_up_to() == 1
+    assert sorted(r["id"] for r in f.store.run_log().collect()) == [0, 1]
+    assert [p.name for p in (f.folder / "store" / "run_log").iterdir()] == ["batch_id=1"]
+    assert [p.name for p in (f.folder / "store" / "totals").iterdir()] == ["version=2"]
 
 
 def test_replayed_batch_changes_nothing(feed, spark):
@@ -101,7 +108,7 @@ def test_replayed_batch_changes_nothing(feed, spark):
     )
     f.job(batch, 0)
     # Lost between the partials and the commit: the batch comes again.
-    f.job.process(-1, 0)
+    f.job.process(range(1))
     f.job(batch, 0)
     # A batch that wrote its partials and never committed does not count.
     f.store.write_partials(f.store.wide_partials().drop("batch_id").limit(1), 1)
@@ -181,8 +188,8 @@ def test_cutting_into_batches(feed, spark, dims, seed):
     }
     f = feed()
     cuts = sorted(rng.sample(range(1, 60), 3))
-    for a, b in zip([0, *cuts], [*cuts, 60]):
-        f.job(decode_both(texts(spark, hotels[a:b]), texts(spark, flights[a:b])), a)
+    for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, 60])):
+        f.job(decode_both(texts(spark, hotels[a:b]), texts(spark, flights[a:b])), i)
     fold_all(f.store)
     totals = f.totals()
     for name in STAT_TABLES.keys() - DEPENDS_ON_CUT:

@@ -9,7 +9,7 @@ from tripstats.functions.calendar import (
 )
 from tripstats.functions.money import exact_add, exact_sum
 from tripstats.functions.numbers import as_int, safe_ratio, share_percent, weighted_category
-from tripstats.functions.text import normalize_name, same_name
+from tripstats.functions.text import is_named, normalize_name, normalized
 
 __all__ = [
     "as_int",
@@ -17,12 +17,13 @@ __all__ = [
     "day_number",
     "exact_add",
     "exact_sum",
+    "is_named",
     "is_weekend",
     "month_name",
     "normalize_name",
+    "normalized",
     "parse_timestamp",
     "safe_ratio",
-    "same_name",
     "share_percent",
     "weighted_category",
 ]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from functools import cache
 
@@ -10,6 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def normalized(text: str) -> str:
+    """`normalize_name` of a constant."""
+    decomposed = unicodedata.normalize("NFKD", text)
+    return decomposed.encode("ascii", "ignore").decode("ascii").lower()
+
+
 def _ascii_of(code_point: int) -> str:
     decomposed = unicodedata.normalize("NFKD", chr(code_point))
     return decomposed.encode("ascii", "ignore").decode("ascii")
@@ -24,7 +29,7 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     like any other character without an ASCII letter.
     """
     single_from, single_to, several = [], [], {}
-    for code_point in range(0x80, 0x110000):
+    for code_point in range(0x80, 0x20000):  # none beyond decomposes to ASCII
         if 0xD800 <= code_point < 0xE000:
             continue
         ascii_text = _ascii_of(code_point)
@@ -37,23 +42,32 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 
 
 def normalize_name(column: str | Column) -> Column:
-    """'São Paulo', 'SAO PAULO' and 'São Paulo' all become 'sao paulo'.
+    """'São Paulo', 'SAO PAULO' and 'Sa\u0303o Paulo' all become 'sao paulo'.
 
-    Pure ASCII text, the common case, only pays the test and the lower-casing.
+    Pure ASCII text, the common case, only pays the test and the lower-casing; characters that
+    stand for several letters are looked up one by one, in the rare names that hold any.
     """
     name = F.col(column) if isinstance(column, str) else column
     single_from, single_to, several = _fold_tables()
-    spelled_out = name
-    for character, letters in several.items():
-        spelled_out = F.replace(spelled_out, F.lit(character), F.lit(letters))
-    any_of_several = "[" + re.escape("".join(several)) + "]"
-    expanded = F.when(name.rlike(any_of_several), spelled_out).otherwise(name)
+    letters = F.str_to_map(
+        F.lit(",".join(f"{c}:{ascii_text}" for c, ascii_text in several.items())),
+        F.lit(","),
+        F.lit(":"),
+    )
+    spelled_out = F.array_join(
+        F.transform(
+            F.regexp_extract_all(name, F.lit("(?s)."), F.lit(0)),
+            lambda c: F.coalesce(F.try_element_at(letters, c), c),
+        ),
+        "",
+    )
+    expanded = F.when(name.rlike(f"[{''.join(several)}]"), spelled_out).otherwise(name)
     folded = F.regexp_replace(
         F.translate(expanded, single_from, single_to), r"[^\x00-\x7F]", ""
     )
     return F.lower(F.when(name.rlike(r"[^\x00-\x7F]"), folded).otherwise(name))
 
 
-def same_name(left: str | Column, right: str | Column) -> Column:
-    """Equality of names without regard to accents and case."""
-    return normalize_name(left) == normalize_name(right)
+def is_named(column: str | Column, name: str) -> Column:
+    """Whether a column holds `name` in any spelling (accents and case aside)."""
+    return normalize_name(column) == F.lit(normalized(name))

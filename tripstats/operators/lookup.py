@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripstats.functions import normalize_name
+from tripstats.functions import is_named
 
 # What one executor may hold of a dimension as a hash table.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -88,7 +88,7 @@ def touches_city(city: str, any_spelling: bool = False) -> Column:
 
     def matches(column: str) -> Column:
         if any_spelling:
-            return normalize_name(column) == normalize_name(F.lit(city))
+            return is_named(column, city)
         return F.col(column) == city
 
     return matches("cidade_origem") | matches("cidade_destino")

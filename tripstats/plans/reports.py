@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripstats.functions import month_name, normalize_name, safe_ratio
+from tripstats.functions import month_name, normalize_name, normalized, safe_ratio
 from tripstats.operators.ranking import first_per_name, ranked, rolling_mean
 from tripstats.operators.spine import MONTHS, STARS, dense_axis
 from tripstats.schemas import MANDATORY_CITIES
@@ -66,16 +66,16 @@ def missing_cities(stats: DataFrame, mandatory: Sequence[str] = MANDATORY_CITIES
 
     One aggregate: a counter per mandatory city, unfolded where it stayed 0.
     """
-    norm = normalize_name("cidade")
     counters = [
         F.struct(
             F.lit(city).alias("cidade"),
-            F.count_if(norm == normalize_name(F.lit(city))).alias("held"),
+            F.count_if(F.col("_norm") == normalized(city)).alias("held"),
         )
         for city in mandatory
     ]
     return (
-        stats.groupBy("company_id")
+        stats.withColumn("_norm", normalize_name("cidade"))
+        .groupBy("company_id")
         .agg(F.array(*counters).alias("_counters"))
         .select("company_id", F.inline("_counters"))
         .where("held = 0")
@@ -100,13 +100,10 @@ def city_report(
     padded = stats.select("company_id", "cidade", "sum_valor").unionByName(
         missing_cities(stats, mandatory).withColumn("sum_valor", F.lit(0.0))
     )
-    norm = normalize_name("cidade")
-    place = F.coalesce(
-        *(F.when(norm == normalize_name(F.lit(c)), i) for i, c in enumerate(mandatory)),
-        F.lit(None).cast("int"),
-    )
+    names = F.array(*(F.lit(normalized(c)) for c in mandatory))
+    place = F.array_position(names, normalize_name("cidade")).cast("int")
     extreme = ranked(padded, "sum_valor", "cidade", n, order, rank="_turn")
-    named = padded.withColumn("_turn", place).where(F.col("_turn").isNotNull())
+    named = padded.withColumn("_turn", place).where("_turn > 0")
     turns = ["_late", "_turn", "sum_valor"]
     merged = first_per_name(
         extreme.withColumn("_late", F.lit(False)).unionByName(

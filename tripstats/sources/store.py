@@ -23,6 +23,7 @@ from tripstats.operators.fold import one_table, pending_counts
 from tripstats.operators.gate import backlog, peek
 from tripstats.plans import reports
 from tripstats.schemas import RUN_LOG, WIDE_SCHEMA, stat_table
+from tripstats.session import written
 
 _LANDED = (
     "company_id STRING, event_timestamp TIMESTAMP, id_hotel INT, valor DOUBLE, "
@@ -52,12 +53,17 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _read(self, folder: str, schema: str) -> DataFrame:
-        """The folder with its partition columns, empty if nothing was ever written."""
+    def _read(self, folder: str, schema: str, batches: range | None = None) -> DataFrame:
+        """The folder with its partition columns, empty if nothing was ever written.
+
+        `batches` names the batch folders to open, so that the others are not even listed.
+        """
+        base = f"{self.root}/{folder}"
+        paths = [base] if batches is None else [f"{base}/batch_id={i}" for i in batches]
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+            return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
         except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
+            if error.getCondition() != "PATH_NOT_FOUND" or batches is not None:
                 raise
             return self.spark.createDataFrame([], schema)
 
@@ -74,15 +80,13 @@ class Store:
             "source", "outcome",
         )
 
-    def landed(self, after: int = -1, up_to: int | None = None) -> DataFrame:
-        """Landed messages of the batches after `after`, up to `up_to` included."""
-        batch = F.col("batch_id")
-        chosen = batch > after if up_to is None else (batch > after) & (batch <= up_to)
-        return self._read("landed", _LANDED).where(chosen)
+    def landed(self, batches: range | None = None) -> DataFrame:
+        """Landed messages, of the given batches or of all."""
+        return self._read("landed", _LANDED, batches)
 
     def waiting(self) -> DataFrame:
         """Landed messages that no committed run has processed."""
-        return self.landed(self.processed_up_to())
+        return self.landed().where(F.col("batch_id") > self.processed_up_to())
 
     def rejects(self) -> DataFrame:
         """Every message set aside, with its reason."""
@@ -102,10 +106,10 @@ class Store:
 
     def write_cube(self, kind: str, cube: DataFrame, batch_id: int) -> DataFrame:
         self._replace(cube, f"cubes/{kind}/batch_id={batch_id}")
-        return self.cubes(kind).where(F.col("batch_id") == batch_id).drop("batch_id")
+        return self.cubes(kind, range(batch_id, batch_id + 1)).drop("batch_id")
 
-    def cubes(self, kind: str) -> DataFrame:
-        return self._read(f"cubes/{kind}", _CUBES[kind])
+    def cubes(self, kind: str, batches: range | None = None) -> DataFrame:
+        return self._read(f"cubes/{kind}", _CUBES[kind], batches)
 
     def write_partials(self, wide: DataFrame, batch_id: int) -> None:
         """All eleven partial tables in one job, so that they appear together or not at all."""
@@ -143,14 +147,16 @@ class Store:
         )
 
     def run_log(self) -> DataFrame:
-        return self._read("run_log", f"{RUN_LOG}, batch_id BIGINT").drop("batch_id")
+        log = self._read("run_log", f"{RUN_LOG}, batch_id BIGINT").drop("batch_id")
+        return log.dropDuplicates(["id"])  # a run is there twice while the log is compacted
 
     def run_log_page(self, limit: int = 100, order: str = "desc") -> DataFrame:
         return reports.run_log_page(self.run_log(), limit, order)
 
     def processed_up_to(self) -> int:
         """Last committed batch, -1 before the first."""
-        return self.run_log().agg(F.coalesce(F.max("id"), F.lit(-1))).first()[0]
+        log = self._read("run_log", RUN_LOG)
+        return log.agg(F.coalesce(F.max("id"), F.lit(-1))).first()[0]
 
     # --- totals ------------------------------------------------------------------------------
 
@@ -168,6 +174,31 @@ class Store:
         last = log.agg(F.max(F.struct("version", "up_to")).alias("last")).first()["last"]
         return (last["version"], last["up_to"]) if last else (0, -1)
 
+    def prune(self, keep_versions: int = 2) -> None:
+        """Drop what totals have consumed: folded partials and versions before the last ones.
+
+        Also gathers the log rows of folded batches in one folder. Nothing that is still to be
+        read is touched, so it may run between any two folds.
+        """
+        version, up_to = self.folded()
+        old_runs = written(self.run_log().where(F.col("id") <= up_to).coalesce(1))
+        if old_runs.isEmpty():
+            return
+        self._replace(old_runs, f"run_log/batch_id={up_to}")
+        self._drop("run_log/batch_id", up_to - 1)
+        self._drop("partials/batch_id", up_to)
+        self._drop("totals/version", version - keep_versions)
+        self._drop("fold_log/version", version - keep_versions)
+
+    def _drop(self, folders: str, up_to: int) -> None:
+        """Delete the numbered folders `folders`=0..up_to that are there."""
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folders}=*")
+        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in files.globStatus(pattern) or []:
+            if int(status.getPath().getName().split("=")[1]) <= up_to:
+                files.delete(status.getPath(), True)
+
     def wide_totals(self, version: int | None = None) -> DataFrame:
         """Totals of the latest or a given version in wide form."""
         if version is None:

@@ -27,7 +27,7 @@ from tripstats.sources.messages import decode_both
 from tripstats.sources.store import USABLE, Store
 
 
-@dataclass(frozen=True)
+@dataclass
 class Job:
     """What a batch is processed with."""
 
@@ -37,17 +37,22 @@ class Job:
     city: str = DEFAULT_CITY
     any_spelling: bool = False
     thresholds: Mapping[str, int] = field(default_factory=lambda: dict(DEFAULT_THRESHOLDS))
+    # Last batch processed: read from the store once, then known, as one query owns the store.
+    _done: int | None = field(default=None, init=False)
 
     def __call__(self, decoded: DataFrame, batch_id: int) -> None:
         """One micro-batch."""
-        done = self.store.processed_up_to()
-        if batch_id > done:
+        if self._done is None:
+            self._done = self.store.processed_up_to()
+        if batch_id > self._done:
             self.store.land(decoded, batch_id)
-            self.process(done, batch_id)
+            if self.process(range(self._done + 1, batch_id + 1)):
+                self._done = batch_id
 
-    def process(self, done: int, batch_id: int) -> bool:
-        """Process all messages landed after batch `done` if every source has enough of them."""
-        waiting = self.store.landed(done, batch_id)
+    def process(self, batches: range) -> bool:
+        """Process the messages landed in `batches` if every source has enough of them."""
+        batch_id = batches[-1]
+        waiting = self.store.landed(batches)
         gate = {row["source"]: row for row in readiness(waiting, self.thresholds).collect()}
         if not all(row["source_ready"] for row in gate.values()):
             return False
