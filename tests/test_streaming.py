@@ -7,10 +7,12 @@ import golden
 import pytest
 from pyspark.sql import functions as F
 
+from tripstats.__main__ import main
 from tripstats.operators.lookup import Dimension
 from tripstats.operators.rollup import flight_cube, hotel_cube, rollup
 from tripstats.operators.statistics import all_statistics
 from tripstats.schemas import FLIGHT_SOURCE, HOTEL_SOURCE, STAT_TABLES, stat_table
+from tripstats.sources.dimensions import load_dimensions
 from tripstats.sources.messages import decode_both, decode_hotels, file_messages, usable
 from tripstats.sources.store import Store
 from tripstats.streaming import Job, fold_all, recomputed, start
@@ -137,13 +139,35 @@ def test_gate_waits_for_both_sources(feed):
 def test_bad_messages_are_set_aside(feed):
     f = feed()
     bad = golden.bad_hotel_messages()
+    f.push(["junk"], ["junk"])  # a batch without any usable message
+    f.run()
+    assert fold_all(f.store) == 1
+    assert f.store.stat("month_hotel").isEmpty()
     f.push([*golden.hotel_messages(), *bad.values()], golden.flight_messages())
     f.run()
     fold_all(f.store)
     assert f.totals() == golden.EXPECTED
     assert {r["value"]: r["reason"] for r in f.store.rejects().collect()} == {
         message: reason for reason, message in bad.items()
-    }
+    } | {"junk": "envelope_not_json"}
+
+
+def test_command_line(feed, dims, capsys):
+    f = feed()
+    f.push(golden.hotel_messages(), golden.flight_messages())
+    paths = {name: str(f.folder / name) for name in ("hotels", "flights")}
+    load_dimensions(f.spark, {"hotels": dims[0].frame, "flights": dims[1].frame}, paths)
+    store = ["--store", f.store.root]
+    main([
+        "ingest", *store, "--hotels", paths["hotels"], "--flights", paths["flights"],
+        "--hotel-messages", str(f.folder / HOTEL_SOURCE), "--hotel-threshold", "5",
+        "--flight-messages", str(f.folder / FLIGHT_SOURCE), "--flight-threshold", "5",
+    ])
+    main(["fold", *store, "--prune"])
+    assert f.totals() == golden.EXPECTED
+    capsys.readouterr()
+    main(["fold", *store])
+    assert "nothing to fold" in capsys.readouterr().out
 
 
 def test_reads(feed):
