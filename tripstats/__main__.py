@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from tripstats.operators.lookup import Dimension, with_current_names
+from tripstats.operators.lookup import Dimension
 from tripstats.schemas import DEFAULT_CITY, DEFAULT_THRESHOLDS, FLIGHT_SOURCE, HOTEL_SOURCE
 from tripstats.session import build_session
 from tripstats.sources.dimensions import read_flights, read_hotels
@@ -53,7 +53,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         job = Job(
             store,
             Dimension.measured(read_hotels(spark, args.hotels), "id_hotel"),
-            Dimension.measured(with_current_names(read_flights(spark, args.flights)), "id_voo"),
+            Dimension.measured(read_flights(spark, args.flights), "id_voo"),
             args.city,
             args.any_spelling,
             {HOTEL_SOURCE: args.hotel_threshold, FLIGHT_SOURCE: args.flight_threshold},

@@ -4,6 +4,7 @@ from tripstats.functions.calendar import (
     date_text,
     day_number,
     is_weekend,
+    iso_text,
     month_name,
     parse_timestamp,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "exact_sum",
     "is_named",
     "is_weekend",
+    "iso_text",
     "month_name",
     "normalize_name",
     "normalized",

@@ -22,6 +22,11 @@ def parse_timestamp(text: str | Column, needs_date: bool = False) -> Column:
     return parsed
 
 
+def iso_text(timestamp: str | Column) -> Column:
+    """Timestamp as 'yyyy-MM-ddTHH:mm:ss', with fractions of a second if there are any."""
+    return F.translate(_col(timestamp).cast("string"), " ", "T")
+
+
 def month_name(month: str | Column) -> Column:
     """Month number to its English abbreviation; null outside 1..12."""
     number = _col(month)

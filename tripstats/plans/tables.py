@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripstats.functions import iso_text
 from tripstats.operators.lookup import Dimension
 from tripstats.schemas import FLIGHT_SOURCE, HOTEL_SOURCE
 from tripstats.session import written
@@ -130,8 +131,16 @@ class Tables:
 
         The number serves as the id, the event's value as the amount.
         """
-        k = F.get_json_object("props", "$.k").cast("int")
-        iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        # Projected first: inlined, they would be evaluated once per use.
+        events = self.read("events").select(
+            "event_id",
+            "event_type",
+            "ts",
+            F.col("value").alias("amount"),
+            F.get_json_object("props", "$.k").cast("int").alias("k"),
+            iso_text("ts").alias("iso"),
+        )
+        k, iso = F.col("k"), F.col("iso")
 
         def unless(spoilt: int, column: Column, instead: Column | None = None) -> Column:
             return F.when(k != spoilt, column).otherwise(F.lit(None) if instead is None else instead)
@@ -140,8 +149,8 @@ class Tables:
             F.struct(
                 unless(4, k).alias(id_column),
                 F.col("event_id").alias(booking_column),
-                unless(5, F.col("value")).alias("valor"),
-                F.date_format(F.date_add("ts", k), "yyyy-MM-dd").alias("data_reservada"),
+                unless(5, F.col("amount")).alias("valor"),
+                F.date_add("ts", k).cast("string").alias("data_reservada"),
                 unless(6, iso, F.lit("x")).alias("data_reserva"),
             )
         )
@@ -152,9 +161,7 @@ class Tables:
                 unless(1, unless(2, iso, F.lit("yesterday"))).alias("timestamp"),
             )
         )
-        return self.read("events").select(
-            "event_id", unless(0, envelope, F.lit("bad")).alias("value")
-        )
+        return events.select("event_id", unless(0, envelope, F.lit("bad")).alias("value"))
 
     def hotel_booking_messages(self) -> DataFrame:
         """Every hotel reservation as a message."""
@@ -166,8 +173,8 @@ class Tables:
                     F.col("l_suppkey").alias("id_hotel"),
                     F.col("l_orderkey").alias("id_reserva_hotel"),
                     F.col("l_extendedprice").alias("valor"),
-                    F.date_format("l_shipdate", "yyyy-MM-dd").alias("data_reservada"),
-                    F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("data_reserva"),
+                    F.col("l_shipdate").cast("date").cast("string").alias("data_reservada"),
+                    iso_text("l_shipdate").alias("data_reserva"),
                 ),
             ).alias("value")
         )
@@ -182,7 +189,7 @@ class Tables:
                     F.col("o_custkey").alias("id_voo"),
                     F.col("o_orderkey").alias("id_reserva_voo"),
                     F.col("o_totalprice").alias("valor"),
-                    F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("data_reserva"),
+                    iso_text("o_orderdate").alias("data_reserva"),
                 ),
             ).alias("value")
         )

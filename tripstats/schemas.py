@@ -21,10 +21,6 @@ HOTEL_PAYLOAD = (
 FLIGHT_PAYLOAD = "id_voo INT, id_reserva_voo INT, valor DOUBLE, data_reserva STRING"
 
 HOTEL_DIM = "id_hotel INT, cidade STRING, estrelas INT"
-FLIGHT_DIM = (
-    "id_voo INT, cidade_origem STRING, cidade_destino STRING, dia INT, mes INT, ano INT"
-)
-
 RUN_LOG = (
     "id BIGINT, start_time TIMESTAMP, end_time TIMESTAMP, rows_hotels BIGINT, "
     "rows_flights BIGINT, spark_duration_seconds DOUBLE, db_write_duration_seconds DOUBLE, "

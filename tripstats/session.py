@@ -14,6 +14,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Landing writes a few partitions per task; open files beat sorting every task by them.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.ui.enabled": "false",
 }
 

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tripstats.operators.lookup import with_current_names
-from tripstats.schemas import FLIGHT_DIM, HOTEL_DIM
+from tripstats.schemas import HOTEL_DIM
 
 ROWS_PER_CHUNK = 10_000  # rows a JDBC insert sends at once (fixed value)
 
@@ -18,7 +18,8 @@ def read_hotels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_flights(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FLIGHT_DIM).parquet(path)
+    """Flights under their current column names, whichever names the files use."""
+    return with_current_names(spark.read.parquet(path))
 
 
 def write_dimension(frame: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:

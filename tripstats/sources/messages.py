@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstats.functions import parse_timestamp
+from tripstats.functions import iso_text, parse_timestamp
 from tripstats.schemas import ENVELOPE, FLIGHT_PAYLOAD, FLIGHT_SOURCE, HOTEL_PAYLOAD, HOTEL_SOURCE
 
 _NOT_JSON = "_not_json"
@@ -132,7 +132,7 @@ def to_message(company: Column, timestamp: Column, payload: Column) -> Column:
         F.struct(
             company.alias("company_id"),
             F.to_json(payload).alias("data"),
-            F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+            iso_text(timestamp).alias("timestamp"),
         )
     )
 
