@@ -113,6 +113,31 @@ def test_a_hot_id_does_not_travel(spark, testdata):
     assert "partial_sum" in below_join
 
 
+def test_a_hot_id_is_split_in_a_row_join(spark):
+    """Rows joined to a large dimension: the partition of the hot id is read in pieces."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    events = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).cast("int").alias("id_hotel"),
+        F.rand(1).alias("valor"),
+    )
+    hotels = spark.range(1000).select(F.col("id").cast("int").alias("id_hotel"))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = enrich(events, Dimension(hotels, "id_hotel", False))
+        assert len(joined.collect()) == 60000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_dimension_size_is_measured(spark):
     frame = spark.createDataFrame([(1, "abc", 1), (2, None, 2)], HOTEL)
     assert measured_bytes(frame) == 2 * (32 + 3 * 16) + 3

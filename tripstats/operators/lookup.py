@@ -11,15 +11,16 @@ from pyspark.sql import types as T
 
 from tripstats.functions import is_named
 
-# What one executor may hold of a dimension as a hash table.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# What one executor may hold of a dimension as a hash table: enough for some two million flights.
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def measured_bytes(frame: DataFrame) -> int:
     """In-memory size of a frame as hash-table rows, measured by one aggregate.
 
     Rows are counted and text is measured rather than estimated from file sizes: dictionary
-    encoding can make a file of city names a hundred times smaller than its rows.
+    encoding can make a file of city names a hundred times smaller than its rows. Fixed parts
+    are taken on the safe side (slots of the table, null bits, padding).
     """
     text = [f.name for f in frame.schema.fields if isinstance(f.dataType, T.StringType)]
     row_bytes = 32 + 16 * len(frame.columns)

@@ -12,16 +12,6 @@ from tripstats.operators.fold import one_table
 from tripstats.schemas import ALL_KEYS, ALL_VALUES, STAT_TABLES
 
 
-def revenue(cube: DataFrame, by: Sequence[str]) -> DataFrame:
-    """`sum_valor` per `by`."""
-    return cube.groupBy(*by).agg(exact_sum("sum_valor").alias("sum_valor"))
-
-
-def bookings(cube: DataFrame, by: Sequence[str], name: str = "num_reservas") -> DataFrame:
-    """Number of bookings per `by`."""
-    return cube.groupBy(*by).agg(F.sum("num_reservas").alias(name))
-
-
 def star_parts(cube: DataFrame, by: Sequence[str]) -> DataFrame:
     """Sum of stars and number of bookings: the additive halves of a mean."""
     return cube.groupBy(*by).agg(

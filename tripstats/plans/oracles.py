@@ -103,7 +103,9 @@ def _big(column: str, alias: str) -> str:
     return f"CAST({column} AS BIGINT) AS {alias}"
 
 
-def _spine(view: str, column: str, zero: str, kind: str, name: str, key: str = "mes_reserva") -> str:
+def _spine(
+    view: str, column: str, zero: str, kind: str, name: str, key: str = "mes_reserva"
+) -> str:
     return f"""
         SELECT c.company_id, CAST(m AS INTEGER) AS month_num,
                strftime(make_date(2000, m, 1), '%b') AS month_name,

@@ -455,7 +455,8 @@ def normalized_city(t: Tables) -> DataFrame:
     """First spelling, by revenue, of each city."""
     cities = _spelled_hotel_cities(t)
     single = ranking.first_per_name(cities, "cidade", ["sum_valor", "cidade"])
-    return single.select("company_id", normalize_name("cidade").alias("nome"), "cidade", "sum_valor")
+    name = normalize_name("cidade").alias("nome")
+    return single.select("company_id", name, "cidade", "sum_valor")
 
 
 @_query

@@ -26,7 +26,8 @@ def of_company(stats: DataFrame, company: str) -> DataFrame:
 def month_report(stats: DataFrame, value: str, key: str = "mes_reserva") -> DataFrame:
     """Twelve rows per company with the month's name, 0 where a month has no data."""
     dense = dense_axis(stats, key, MONTHS, [value], "month_num")
-    return dense.select("company_id", "month_num", month_name("month_num").alias("month_name"), value)
+    name = month_name("month_num").alias("month_name")
+    return dense.select("company_id", "month_num", name, value)
 
 
 def star_report(stats: DataFrame) -> DataFrame:

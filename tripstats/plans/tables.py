@@ -143,7 +143,8 @@ class Tables:
         k, iso = F.col("k"), F.col("iso")
 
         def unless(spoilt: int, column: Column, instead: Column | None = None) -> Column:
-            return F.when(k != spoilt, column).otherwise(F.lit(None) if instead is None else instead)
+            other = F.lit(None) if instead is None else instead
+            return F.when(k != spoilt, column).otherwise(other)
 
         payload = F.to_json(
             F.struct(

@@ -36,10 +36,6 @@ class StatTable:
     keys: dict[str, str]
     values: dict[str, str]
 
-    @property
-    def short_name(self) -> str:
-        return self.name.removeprefix("stats_")
-
     @property
     def columns(self) -> list[str]:
         return ["company_id", *self.keys, *self.values]

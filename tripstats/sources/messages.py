@@ -137,9 +137,15 @@ def to_message(company: Column, timestamp: Column, payload: Column) -> Column:
     )
 
 
-def file_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of messages from a folder of text files, one message per line."""
-    reader = spark.readStream.format("text")
+def file_messages(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, **options: str
+) -> DataFrame:
+    """Stream of messages from a folder of text files, one message per line.
+
+    `options` go to the reader, such as `cleanSource` and `sourceArchiveDir`, which take files
+    out of the folder once they are consumed.
+    """
+    reader = spark.readStream.format("text").options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
