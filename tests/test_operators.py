@@ -214,6 +214,9 @@ def test_messages_that_cannot_be_used(spark):
     assert dict((r["value"], r["reason"]) for r in rejects(decoded).collect()) == {
         message: reason for reason, message in bad.items()
     }
+    odd = golden.hotel_message("A", 1, 5.0, "2025-01-01", number="unreadable")
+    kept = usable(decode_hotels(spark.createDataFrame([(odd,)], "value STRING"))).collect()
+    assert [(r["valor"], r["id_reserva_hotel"]) for r in kept] == [(5.0, None)]
     events = usable(decoded).orderBy("company_id", "id_hotel", "valor").collect()
     assert len(events) == 5
     assert events[0]["data_reserva"] == datetime.datetime(2025, 2, 10)

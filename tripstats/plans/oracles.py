@@ -117,8 +117,8 @@ def _spine(
 _NORM = "lower(strip_accents({}))"
 
 _HOTEL_MSG = """
-    SELECT event_type AS company_id, ts AS event_timestamp, k AS {id}, value AS valor,
-           {extra}ts AS data_reserva, CAST(event_id AS INTEGER) AS {booking}
+    SELECT event_type AS company_id, ts AS event_timestamp, CAST(k AS BIGINT) AS {id},
+           value AS valor, {extra}ts AS data_reserva, event_id AS {booking}
     FROM msgs WHERE k > 7"""
 
 

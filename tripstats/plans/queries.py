@@ -551,7 +551,7 @@ def stay_nights(t: Tables) -> DataFrame:
 
 def _calendar(t: Tables) -> DataFrame:
     """Departures of every route that sold, on each day from its first to its last sale."""
-    period = (
+    period = t.written(  # a row per route; the calendar is read twice for its numbers
         lookup.enrich(t.flight_events, t.flight_dim)
         .groupBy("cidade_origem", "cidade_destino")
         .agg(

@@ -15,12 +15,14 @@ DEFAULT_CITY = "São Paulo"
 MANDATORY_CITIES = ("São Paulo", "Rio de Janeiro", "Belo Horizonte", "Salvador")
 
 ENVELOPE = "company_id STRING, data STRING, timestamp STRING"
+# Ids are 64 bits wide: 32 bits end at two billion bookings.
 HOTEL_PAYLOAD = (
-    "id_reserva_hotel INT, id_hotel INT, valor DOUBLE, data_reservada STRING, data_reserva STRING"
+    "id_reserva_hotel BIGINT, id_hotel BIGINT, valor DOUBLE, data_reservada STRING, "
+    "data_reserva STRING"
 )
-FLIGHT_PAYLOAD = "id_voo INT, id_reserva_voo INT, valor DOUBLE, data_reserva STRING"
+FLIGHT_PAYLOAD = "id_voo BIGINT, id_reserva_voo BIGINT, valor DOUBLE, data_reserva STRING"
 
-HOTEL_DIM = "id_hotel INT, cidade STRING, estrelas INT"
+HOTEL_DIM = "id_hotel BIGINT, cidade STRING, estrelas INT"
 RUN_LOG = (
     "id BIGINT, start_time TIMESTAMP, end_time TIMESTAMP, rows_hotels BIGINT, "
     "rows_flights BIGINT, spark_duration_seconds DOUBLE, db_write_duration_seconds DOUBLE, "

@@ -54,15 +54,19 @@ def _opened(messages: DataFrame, payload: str) -> DataFrame:
 
 
 def _reason(id_column: str) -> Column:
+    """Why a message cannot be used. A field nobody needs may be unreadable; it is null then."""
+
     def missing(name: str) -> Column:
         return F.col(name).isNull()
 
+    unreadable = missing("p") | F.col(f"p.{_NOT_JSON}").isNotNull()
+    incomplete = missing(f"p.{id_column}") | missing("p.valor") | missing("p.data_reserva")
     return _first_reason(
         ("envelope_not_json", missing("env") | F.col(f"env.{_NOT_JSON}").isNotNull()),
         ("company_missing", missing("env.company_id")),
         ("timestamp_missing", missing("env.timestamp")),
         ("timestamp_invalid", missing("event_timestamp")),
-        ("payload_invalid", missing("p") | F.col(f"p.{_NOT_JSON}").isNotNull()),
+        ("payload_invalid", unreadable & incomplete),
         ("id_missing", missing(f"p.{id_column}")),
         ("value_missing", missing("p.valor")),
         ("date_missing", missing("p.data_reserva")),

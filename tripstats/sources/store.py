@@ -26,9 +26,9 @@ from tripstats.schemas import RUN_LOG, WIDE_SCHEMA, stat_table
 from tripstats.session import written
 
 _LANDED = (
-    "company_id STRING, event_timestamp TIMESTAMP, id_hotel INT, valor DOUBLE, "
-    "data_reservada TIMESTAMP, data_reserva TIMESTAMP, id_reserva_hotel INT, id_voo INT, "
-    "id_reserva_voo INT, reason STRING, value STRING, "
+    "company_id STRING, event_timestamp TIMESTAMP, id_hotel BIGINT, valor DOUBLE, "
+    "data_reservada TIMESTAMP, data_reserva TIMESTAMP, id_reserva_hotel BIGINT, id_voo BIGINT, "
+    "id_reserva_voo BIGINT, reason STRING, value STRING, "
     "batch_id BIGINT, source STRING, outcome STRING"
 )
 _CUBES = {
