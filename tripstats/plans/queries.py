@@ -250,14 +250,20 @@ def all_statistics_wide(t: Tables) -> DataFrame:
 # --- messages and the batch gate -------------------------------------------------------------
 
 
+def _as_written(events: DataFrame) -> DataFrame:
+    """Timestamps as the zone-less text of the messages has them, whatever the session's zone."""
+    times = [name for name, kind in events.dtypes if kind == "timestamp"]
+    return events.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+
+
 @_query
 def decode_hotel_messages(t: Tables) -> DataFrame:
-    return usable(decode_hotels(t.messages("id_hotel", "id_reserva_hotel")))
+    return _as_written(usable(decode_hotels(t.messages("id_hotel", "id_reserva_hotel"))))
 
 
 @_query
 def decode_flight_messages(t: Tables) -> DataFrame:
-    return usable(decode_flights(t.messages("id_voo", "id_reserva_voo")))
+    return _as_written(usable(decode_flights(t.messages("id_voo", "id_reserva_voo"))))
 
 
 @_query

@@ -207,7 +207,7 @@ class Tables:
     def run_log(self) -> DataFrame:
         """One run per hour of events, with the columns of the run log."""
         hotels = F.col("event_type").isin("view", "click")
-        hour = F.date_trunc("hour", "ts")
+        hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
         runs = (
             self.read("events")
             .groupBy(hour.alias("hour"))
