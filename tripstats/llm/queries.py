@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstats.llm import decontamination, lines, near_copies, packing, quality
+from tripstats.llm import decontamination, language, lines, near_copies, packing, quality, rules
 from tripstats.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"))
 
@@ -24,6 +28,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(read(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(read(spark, sf_dir, "documents"))
 
