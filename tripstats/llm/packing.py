@@ -7,6 +7,7 @@ from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,78 +17,121 @@ CAPACITY = 4096
 END_ID = 1
 NODES = 4000  # fillings looked at for one bin before the best one so far is taken
 ROWS_PER_GROUP = 100_000
-CACHED_WORDS = 250_000
+CACHED_WORDS = 400_000
+BYTES_AT_ONCE = 6_000_000
 TOKENIZER = "word_bpe_49k.json"
 
 
-class Recent(dict):
+class Recent:
     """Map that forgets what was not used since it last filled up; holds at most two loads."""
 
-    def __init__(self, load: int = CACHED_WORDS):
-        super().__init__()
-        self.load, self.old = load, {}
+    def __init__(self, load: int):
+        self.load, self.new, self.old = load, {}, {}
 
-    def __missing__(self, key):
-        value = self.old[key]
-        self[key] = value
-        return value
+    def get(self, keys: list, compute) -> list:
+        """Values of distinct keys; `compute` maps those that are not known."""
+        if len(self.new) + len(keys) > self.load:
+            self.new, self.old = {}, self.new
+        new, old = self.new, self.old
+        missing = []
+        for key in keys:
+            if key not in new:
+                if key in old:
+                    new[key] = old[key]
+                else:
+                    missing.append(key)
+        new.update(zip(missing, compute(missing), strict=True))
+        return [new[key] for key in keys]
 
-    def lacks(self, keys: set) -> list:
-        return [k for k in keys if k not in self and k not in self.old]
 
-    def turn(self) -> None:
-        if len(self) > self.load:
-            self.old = dict(self)
-            self.clear()
+class Ragged:
+    """Arrays of ids of various lengths, end to end."""
+
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray):
+        self.ids, self.lengths = ids, lengths
+        self.ends = np.cumsum(lengths)
+
+    @classmethod
+    def of(cls, raws: list[bytes]) -> Ragged:
+        lengths = np.fromiter(map(len, raws), np.int64, len(raws)) // 4
+        return cls(np.frombuffer(b"".join(raws), "<u4"), lengths)
+
+    def take(self, rows: np.ndarray) -> Ragged:
+        lengths = self.lengths[rows]
+        ends = np.cumsum(lengths)
+        shift = np.repeat((self.ends[rows] - ends).astype(np.int64), lengths)
+        return Ragged(self.ids[shift + np.arange(len(shift))], lengths)
 
 
 class Words:
-    """Token ids of words, as bytes of little-endian 32-bit numbers.
+    """Token ids of texts by way of their distinct words.
 
-    The tokenizer never joins tokens over a space, so the ids of a text are those of its words.
-    Letters followed by ASCII symbols fall into those two parts likewise, and case is ignored.
+    The tokenizer never joins tokens over white space, so the ids of a text are those of its
+    words. Letters followed by ASCII symbols fall into those two parts likewise, and case is
+    ignored. Only words without `<|`, which may start a special token, are split that way.
     """
 
+    STEM = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
     SYMBOLS = ".,!*#$%&|;:?()"
-    BETWEEN = "<|startoftext|>"
 
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.between = self.tokenizer.token_to_id(self.BETWEEN)
-        self.words, self.stems = Recent(), Recent()
-
-    def _encode(self, parts: list[str]) -> None:
-        plain = [p for p in parts if "<|" not in p]
-        for p in parts:
-            if "<|" in p:
-                self.stems[p] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-        for at in range(0, len(plain), 2000):
-            block = plain[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(self.BETWEEN.join(block), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.between)
+        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
+        self.ends = np.zeros(max(ends) + 10, bool)
+        self.ends[ends] = True
+        self.stems, self.others = Recent(CACHED_WORDS), Recent(CACHED_WORDS // 4)
+
+    def _stems(self, stems: list[str]) -> list[bytes]:
+        """A stem is one word to the tokenizer: its last token, and no other, ends a word."""
+        found = []
+        for at in range(0, len(stems), 4000):
+            block = stems[at : at + 4000]
+            ids = np.array(self.tokenizer.encode(" ".join(block), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
             raw = ids.tobytes()
-            for p, x, y in zip(block, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
-                self.stems[p] = raw[4 * x : 4 * y]
-
-    def _parts(self, word: str) -> tuple[str, str]:
-        stem = word.rstrip(self.SYMBOLS)
-        if not stem.isalpha() or max(stem) > "\xff":
-            return word, ""
-        return stem.lower(), word[len(stem) :]
+            found += [raw[4 * x : 4 * y] for x, y in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
+        return found
 
-    def of(self, texts: list[str | None]) -> list[bytes]:
+    def _others(self, words: list[str]) -> list[bytes]:
+        return [
+            np.array(e.ids, "<u4").tobytes()
+            for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        ]
+
+    def _table(self, words: pa.Array) -> Ragged:
+        """Ids of distinct words: of the stem, if there is one, then of the rest."""
+        stems = pc.utf8_rtrim(words, self.SYMBOLS)
+        regular = pc.match_substring_regex(stems, self.STEM)
+        stems = pc.if_else(regular, stems, "")
+        sizes = pc.binary_length(stems).to_numpy()
+        rests = pa.array([w[n:] for w, n in zip(words.cast("binary").to_pylist(), sizes.tolist(), strict=True)], "binary")
+        parts = [
+            self._known(pc.utf8_lower(stems), self.stems, self._stems),
+            self._known(rests.cast("string"), self.others, self._others),
+        ]
+        both = Ragged(np.concatenate([p.ids for p in parts]), np.concatenate([p.lengths for p in parts]))
+        joined = both.take(np.arange(2 * len(words)).reshape(2, -1).T.ravel())
+        return Ragged(joined.ids, parts[0].lengths + parts[1].lengths)
+
+    @staticmethod
+    def _known(values: pa.Array, cache: Recent, compute) -> Ragged:
+        coded = pc.dictionary_encode(values)
+        texts = coded.dictionary.to_pylist()
+        some = [t for t in texts if t]
+        found = dict(zip(some, cache.get(some, compute), strict=True))
+        return Ragged.of([found.get(t, b"") for t in texts]).take(coded.indices.to_numpy())
+
+    def of(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text."""
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        new = {w: self._parts(w) for w in self.words.lacks(set().union(*split))}
-        self._encode(self.stems.lacks({p for parts in new.values() for p in parts if p}))
-        for word, (stem, symbols) in new.items():
-            self.words[word] = (self.stems[stem] if stem else b"") + (self.stems[symbols] if symbols else b"")
-        found = [b"".join(map(self.words.__getitem__, words)) for words in split]
-        self.words.turn()
-        self.stems.turn()
-        return found
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        coded = pc.dictionary_encode(split.flatten())
+        rows = coded.indices.to_numpy()
+        found = self._table(coded.dictionary).take(rows)
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        at = np.concatenate([[0], found.ends])[bounds]
+        return [found.ids[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 _LOADED: dict[str, Words] = {}
@@ -123,13 +167,20 @@ def pieces(
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(ids), 256):
+            size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+            cuts = np.flatnonzero(np.diff(size // BYTES_AT_ONCE)) + 1
+            for at, to in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
                 rows = []
-                for doc, raw in zip(ids[at : at + 256], words.of(texts.slice(at, 256).to_pylist()), strict=True):
-                    raw += end
+                found = words.of(texts.slice(at, to - at))
+                for doc, own in zip(ids[at:to], found, strict=True):
+                    raw = own.tobytes() + end
                     for number, x in enumerate(range(0, len(raw), 4 * capacity)):
                         part = raw[x : x + 4 * capacity]
-                        rows.append((doc, number, x // 4, len(part) // 4, zlib.crc32(part), part))
+                        rows.append((doc, number, x // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
+                del found
+                pa.default_memory_pool().release_unused()
+                if not rows:
+                    continue
                 columns = list(zip(*rows, strict=True))
                 arrays = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32())]
                 arrays += [pa.array(columns[i], pa.int64()) for i in (2, 3, 4)]
