@@ -94,7 +94,7 @@ def _sign(batches):
                 key = _mix(key * _BASE + column)
             digests.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
             bands.append(key.view(np.int64))
-            signatures.append((low >> np.uint64(56)).astype(np.uint8).tobytes())
+            signatures.append((_mix(low) >> np.uint64(56)).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
@@ -111,6 +111,13 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "set"])
 
 
+def _arrays(batches):
+    words = WordHashes()
+    for batch in batches:
+        tokens = [shingles(text.as_py(), words).view(np.int64) for text in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.list_(pa.int64()))], names=["node", "tokens"])
+
+
 def _agreement(left, right):
     if not len(left):
         return left.astype(float)
@@ -169,8 +176,13 @@ def near_copies(docs: DataFrame, percent: int = 75) -> DataFrame:
             table.drop()
         return done.frame
 
+    def tokens_of(nodes: Stored) -> DataFrame:
+        named = docs.withColumnRenamed("doc_id", "node")
+        sets = beside(named, nodes, ["node"], "left_semi").mapInArrow(_arrays, "node long, tokens array<long>")
+        return sets.select("node", F.explode("tokens").alias("token")).distinct()
+
     members = chosen.frame.select(F.explode("bands").alias("bucket"), "node").distinct()
-    found = components(linked_in_buckets(members, confirmed))
+    found = components(linked_in_buckets(members, confirmed, tokens_of, percent))
     of = Stored(
         classes.frame.join(found, "node", "left")
         .select("digest", F.coalesce("component", "node").alias("component"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripstats.session import shared_folder
@@ -24,14 +24,21 @@ class Stored:
     dropped, at the latest when the driver ends.
     """
 
-    def __init__(self, frame: DataFrame):
+    def __init__(self, frame: DataFrame, release: bool = False):
+        """`release`: let Spark delete at once the shuffle files that led to the table.
+
+        Spark deletes them when the driver's garbage collector finds them unused, which may be
+        long after large ones filled the executors' disks.
+        """
         spark = frame.sparkSession
         self.path = f"{shared_folder(spark)}/tripstats-{uuid.uuid4().hex}"
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path(self.path)
         self._files = self._path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         self._files.deleteOnExit(self._path)
-        frame.write.parquet(self.path)
+        frame.write.parquet(self.path, compression="zstd")
+        if release:
+            jvm.System.gc()
         self.frame = spark.read.schema(frame.schema).parquet(self.path)
 
     def bytes(self) -> int:
@@ -73,40 +80,98 @@ def components(links: DataFrame) -> DataFrame:
         previous, stamp, edges = current, row, current.frame
 
 
-def linked_in_buckets(members: DataFrame, confirmed) -> DataFrame:
+# Buckets choose their hub by one of so many orders of the nodes.
+ORDERS = 2
+
+
+def prefix_pairs(tokens: DataFrame, percent: int) -> DataFrame:
+    """Pairs `a`, `b` of nodes of different components that may reach a Jaccard similarity.
+
+    `tokens` has `node`, `component` and the distinct tokens of each node, one per row. Two sets
+    that are similar enough share one of their rarest tokens: of n, the first
+    n - ceil(percent * n / 100) + 1, and what follows the first one they share is long enough for
+    the rest. No similar pair is left out, and copies that differ in more words than that do not
+    meet, however many there are.
+    """
+    tokens = Stored(tokens)
+    seen = tokens.frame.groupBy("token").agg(
+        F.count("*").alias("df"), F.min("component").alias("x"), F.max("component").alias("y")
+    )
+    by_node = Window.partitionBy("node")
+    rarest = (
+        tokens.frame.join(seen, "token")
+        .withColumn("n", F.count("*").over(by_node))
+        .withColumn("rank", F.row_number().over(by_node.orderBy("df", "token")))
+        .where(F.col("rank") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1)
+        .where("x < y").select("token", "node", "component", "n", "rank")
+    )
+    rarest = Stored(rarest).frame
+    tokens.drop()
+    return (
+        rarest.toDF("token", "a", "ca", "na", "ra").join(rarest.toDF("token", "b", "cb", "nb", "rb"), "token")
+        .where("a > b AND ca <> cb")
+        .where(
+            F.lit(100 + percent) * (F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb")) + 1)
+            >= F.lit(percent) * (F.col("na") + F.col("nb"))
+        )
+        .select("a", "b").distinct()
+    )
+
+
+def linked_in_buckets(members: DataFrame, confirmed, tokens_of, percent: int) -> DataFrame:
     """Links between the nodes of each bucket, as many as fix the components.
 
-    `members` has `bucket`, `node`; `confirmed` keeps the pairs `a`, `b` that are links. First
-    every node is tried against the smallest of its bucket, which settles groups of copies of
-    any size with one pair per member. Then nodes that still lie in different components of a
-    bucket are tried against one another. No pair that could join two components is left out.
+    `members` has `bucket`, `node`; `confirmed` keeps the pairs `a`, `b` that are links;
+    `tokens_of` gives `node`, `token` for a stored table of `node`. In each round every node is
+    tried against one hub of its bucket that lies in another component; hubs differ by round
+    and, in a few orders, by bucket. That settles groups of copies of any size with a few pairs
+    per member. When a round no longer links a tenth of the nodes it tried, nodes that still lie
+    in a bucket with other components are compared by their rarest tokens. No pair that could
+    join two components is left out.
     """
     shared = Stored(
         members.join(
-            members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-            .where("hub < last").select("bucket", "hub"),
-            "bucket",
-        )
-    )
-    stars = shared.frame.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    first = Stored(confirmed(stars.distinct()))
-    found = components(first.frame)
-    of = Stored(
-        shared.frame.join(found, "node", "left")
-        .select("bucket", "node", F.coalesce("component", "node").alias("component"))
+            members.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y"))
+            .where("x < y").select("bucket"),
+            "bucket", "left_semi",
+        ).withColumn("component", F.col("node"))
     )
-    open_buckets = (
-        of.frame.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        .where("x < y").select("bucket")
-    )
-    left = of.frame.join(open_buckets, "bucket", "left_semi")
-    pairs = (
-        left.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
-        .join(left.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb")), "bucket")
-        .where("a < b AND ca <> cb").select("a", "b").distinct()
-        .join(stars.distinct(), ["a", "b"], "left_anti")
+    links: DataFrame | None = None
+    turn = 0
+    while True:
+        order = F.xxhash64("node", F.pmod("bucket", F.lit(ORDERS)) + F.lit(ORDERS * turn))
+        hubs = (
+            shared.frame.groupBy("bucket")
+            .agg(F.min_by(F.struct("node", "component"), order).alias("hub"), F.min("component").alias("x"), F.max("component").alias("y"))
+            .where("x < y").select("bucket", "hub")
+        )
+        tried = Stored(
+            shared.frame.join(hubs, "bucket").where("component <> hub.component")
+            .select(F.greatest("node", "hub.node").alias("a"), F.least("node", "hub.node").alias("b")).distinct()
+        )
+        found = Stored(confirmed(tried.frame))
+        n, gained = tried.frame.count(), found.frame.count()
+        if gained:
+            links = found.frame if links is None else links.union(found.frame)
+            of = components(links)
+            following = Stored(
+                shared.frame.drop("component").join(of, "node", "left")
+                .select("bucket", "node", F.coalesce("component", "node").alias("component"))
+            )
+            shared.drop()
+            shared = following
+        tried.drop()
+        turn += 1
+        if 10 * gained < n or not n:
+            break
+    left = Stored(
+        shared.frame.join(
+            shared.frame.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+            .where("x < y").select("bucket"),
+            "bucket", "left_semi",
+        ).select("node", "component").distinct()
     )
-    second = Stored(confirmed(pairs))
     shared.drop()
-    of.drop()
-    return first.frame.union(second.frame)
+    nodes = Stored(left.frame.select("node"))
+    rest = Stored(confirmed(prefix_pairs(tokens_of(nodes).join(left.frame, "node"), percent))).frame
+    return rest if links is None else links.union(rest)
