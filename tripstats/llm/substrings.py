@@ -233,22 +233,26 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     named = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     marks = named.mapInArrow(_mark, "anchor long, doc_id long")
     shared = Stored(
-        marks.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("anchor")
+        marks.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("anchor"),
+        release=True,
     )
     wanted = Stored(
-        marks.join(shared.frame, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
+        marks.join(shared.frame, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors")),
+        release=True,
     )
     shared.drop()
     runs = Stored(
         beside(named, wanted, ["doc_id"], "inner").select("doc_id", "text", "anchors")
-        .mapInArrow(_runs, "anchor long, doc_id long, start int, words binary")
+        .mapInArrow(_runs, "anchor long, doc_id long, start int, words binary"),
+        release=True,
     )
     wanted.drop()
     key = F.xxhash64("words").alias("key")
     distinct = runs.frame.groupBy("anchor", "words").agg(F.min("doc_id").alias("first"))
     answers = Stored(
         distinct.select("anchor", key, "words", "first").repartition("anchor").sortWithinPartitions("anchor", "key")
-        .mapInArrow(_search, "anchor long, key long, firsts array<long>")
+        .mapInArrow(_search, "anchor long, key long, firsts array<long>"),
+        release=True,
     )
     covered = Stored(
         runs.frame.select("anchor", "doc_id", "start", key).join(answers.frame, ["anchor", "key"])
@@ -259,8 +263,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             ).alias("starts"),
         )
         .where(F.size("starts") > 0)
-        .groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
+        .groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts")),
+        release=True,
     )
+    runs.drop()
+    answers.drop()
     finish = F.pandas_udf(_finish, "n_words long, n_removed long, kept_sha256 string, kept string")
     return beside(docs, covered, ["doc_id"], "left").select("doc_id", finish("text", "starts").alias("f")).select("doc_id", "f.*")
 
