@@ -20,7 +20,7 @@ from tripstats.llm.near_copies import _BASE, WordHashes, _mix
 from tripstats.llm.shared import Stored, beside
 
 WINDOW = 13
-ANCHOR = 3
+ANCHOR = 6
 SHARD_WORDS = 2_000_000  # words after which a shard is closed, at the next anchor
 
 
@@ -231,7 +231,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     named = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    marks = named.mapInArrow(_mark, "anchor long, doc_id long")
+    marked = Stored(named.mapInArrow(_mark, "anchor long, doc_id long"))
+    marks = marked.frame
     shared = Stored(
         marks.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("anchor"),
         release=True,
@@ -241,6 +242,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         release=True,
     )
     shared.drop()
+    marked.drop()
     runs = Stored(
         beside(named, wanted, ["doc_id"], "inner").select("doc_id", "text", "anchors")
         .mapInArrow(_runs, "anchor long, doc_id long, start int, words binary"),
