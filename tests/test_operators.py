@@ -262,7 +262,7 @@ def test_city_report(spark):
     ]
     highest = reports.city_report(stats, n=3, order="desc").orderBy("posicao").collect()
     assert [r["cidade"] for r in highest] == ["São Paulo", "SALVADOR", "c12"]
-    assert reports.city_report(stats, n=50).count() == 10
+    assert reports.city_report(stats, n=50).count() == 16
 
 
 def test_run_log_page_checks_its_arguments(spark):

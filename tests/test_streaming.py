@@ -243,3 +243,21 @@ def test_rollup_runs_as_a_streaming_aggregation(spark, feed, dims):
     query.awaitTermination()
     result = golden.rows(spark.table("live_month_hotel"), stat_table("month_hotel"))
     assert result == golden.EXPECTED["stats_month_hotel"]
+
+
+def test_dimension_rows_added_between_batches_count(spark, tmp_path, dims):
+    hotels, flights = dims
+    known = [hotels.frame.where("id_hotel = 1"), hotels.frame]
+    store = Store(spark, str(tmp_path / "store"))
+    job = Job(store, lambda: Dimension.measured(known[0], "id_hotel"), flights, thresholds=OPEN)
+    assert {r["id_hotel"] for r in job.hotels().frame.collect()} == {1}
+    known.pop(0)
+    assert job.hotels().frame.count() == hotels.frame.count()
+
+
+def test_a_folded_batch_stays_committed_without_its_log_row(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    assert store.processed_up_to() == -1
+    log = spark.range(1).selectExpr("CAST(4 AS BIGINT) AS up_to", "current_timestamp() AS folded_at")
+    log.write.parquet(f"{store.root}/fold_log/version=1")
+    assert store.processed_up_to() == 4

@@ -39,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     show = commands.add_parser("show", help="print a table of totals")
     show.add_argument("table")
     show.add_argument("--company")
+    show.add_argument("--limit", type=int, help="rows to print; all without it")
 
     for command in (ingest, fold, show):
         command.add_argument("--store", required=True)
@@ -52,8 +53,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     if args.command == "ingest":
         job = Job(
             store,
-            Dimension.measured(read_hotels(spark, args.hotels), "id_hotel"),
-            Dimension.measured(read_flights(spark, args.flights), "id_voo"),
+            lambda: Dimension.measured(read_hotels(spark, args.hotels), "id_hotel"),
+            lambda: Dimension.measured(read_flights(spark, args.flights), "id_voo"),
             args.city,
             args.any_spelling,
             {HOTEL_SOURCE: args.hotel_threshold, FLIGHT_SOURCE: args.flight_threshold},
@@ -69,7 +70,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
         if args.prune:
             store.prune()
     else:
-        store.stat(args.table, args.company).show(1000, truncate=False)
+        rows = store.stat(args.table, args.company)
+        print(*rows.columns, sep="\t")
+        for row in (rows if args.limit is None else rows.limit(args.limit)).toLocalIterator():
+            print(*row, sep="\t")
 
 
 if __name__ == "__main__":

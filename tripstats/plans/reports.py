@@ -90,14 +90,13 @@ def city_report(
     order: str = "asc",
     mandatory: Sequence[str] = MANDATORY_CITIES,
 ) -> DataFrame:
-    """At most `n` (never over 10) cities per company, one row per name whatever its spelling.
+    """At most `n` cities per company, one row per name whatever its spelling.
 
     Mandatory cities without a row count as 0. The n extreme rows are taken first, then
     spellings of one city merge into the first of them; places freed that way go to mandatory
     cities not shown yet, in their order, with their true revenue. Reads `stats` more than
     once, so hand it a table, not a rollup.
     """
-    n = min(n, CITY_REPORT_ROWS)
     padded = stats.select("company_id", "cidade", "sum_valor").unionByName(
         missing_cities(stats, mandatory).withColumn("sum_valor", F.lit(0.0))
     )

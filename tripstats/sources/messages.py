@@ -49,7 +49,7 @@ def _opened(messages: DataFrame, payload: str) -> DataFrame:
     return (
         _with_json(envelopes, "env.data", payload, "p")
         .withColumn("event_timestamp", parse_timestamp("env.timestamp", needs_date=True))
-        .withColumn("reserva", parse_timestamp("p.data_reserva"))
+        .withColumn("reserva", parse_timestamp("p.data_reserva", needs_date=True))
     )
 
 
@@ -81,7 +81,7 @@ def decode_hotels(messages: DataFrame) -> DataFrame:
         "event_timestamp",
         "p.id_hotel",
         "p.valor",
-        parse_timestamp("p.data_reservada").alias("data_reservada"),
+        parse_timestamp("p.data_reservada", needs_date=True).alias("data_reservada"),
         F.col("reserva").alias("data_reserva"),
         "p.id_reserva_hotel",
         _reason("id_hotel").alias("reason"),

@@ -154,9 +154,13 @@ class Store:
         return reports.run_log_page(self.run_log(), limit, order)
 
     def processed_up_to(self) -> int:
-        """Last committed batch, -1 before the first."""
+        """Last committed batch, -1 before the first.
+
+        A folded batch is committed whatever became of its log row, so a prune that stops while
+        it gathers the log makes no batch run again.
+        """
         log = self._read("run_log", RUN_LOG)
-        return log.agg(F.coalesce(F.max("id"), F.lit(-1))).first()[0]
+        return max(log.agg(F.coalesce(F.max("id"), F.lit(-1))).first()[0], self.folded()[1])
 
     # --- totals ------------------------------------------------------------------------------
 

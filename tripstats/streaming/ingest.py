@@ -9,7 +9,7 @@ waiting and overwrites the same folders.
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -29,11 +29,15 @@ from tripstats.sources.store import USABLE, Store
 
 @dataclass
 class Job:
-    """What a batch is processed with."""
+    """What a batch is processed with.
+
+    A dimension that changes while the stream runs is given as a function; every batch calls it,
+    and so sees rows added since and measures the size anew.
+    """
 
     store: Store
-    hotels: Dimension
-    flights: Dimension
+    hotels: Dimension | Callable[[], Dimension]
+    flights: Dimension | Callable[[], Dimension]
     city: str = DEFAULT_CITY
     any_spelling: bool = False
     thresholds: Mapping[str, int] = field(default_factory=lambda: dict(DEFAULT_THRESHOLDS))
@@ -57,16 +61,17 @@ class Job:
         if not all(row["source_ready"] for row in gate.values()):
             return False
 
+        hotels, flights = (d() if callable(d) else d for d in (self.hotels, self.flights))
         start, clock = datetime.now(timezone.utc), time.perf_counter()
         usable = waiting.where(F.col("outcome") == USABLE)
         hotel_events = usable.where(F.col("source") == HOTEL_SOURCE)
         flight_events = usable.where(F.col("source") == FLIGHT_SOURCE)
         # Each kind of event is read once; the eleven tables come from the small written cubes.
         cubes = (
-            self.store.write_cube("hotel", hotel_cube(hotel_events, self.hotels), batch_id),
+            self.store.write_cube("hotel", hotel_cube(hotel_events, hotels), batch_id),
             self.store.write_cube(
                 "flight",
-                flight_cube(flight_events, self.flights, self.city, self.any_spelling),
+                flight_cube(flight_events, flights, self.city, self.any_spelling),
                 batch_id,
             ),
         )
