@@ -12,6 +12,7 @@ from tripstats.llm import (
     decontamination,
     html_text,
     language,
+    lines,
     near_copies,
     packing,
     quality,
@@ -196,3 +197,41 @@ def test_held_out_accuracy(tables):
     label = {r.doc_id: r.quality for r in tables("labels").collect()}
     rows = [r for r in quality.report(docs, tables("labels")).collect() if r.held_out and r.doc_id in label]
     assert np.mean([r.predicted == label[r.doc_id] for r in rows]) > 0.9
+
+
+def test_lines(tables):
+    docs = tables("documents")
+    own, first, sets = texts(docs), {}, {}
+    for d in sorted(own):
+        for i, raw in enumerate(own[d].split("\n")):
+            if line := raw.strip(" "):
+                first.setdefault(line, (d, i))
+                sets[line] = {line[k : k + 5] for k in range(max(1, len(line) - 4))}
+    root = {line: line for line in first}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    order = sorted(sets, key=lambda x: len(sets[x]))
+    for i, x in enumerate(order):
+        for y in order[i + 1 :]:
+            a, b = sets[x], sets[y]
+            if 100 * len(a) < 80 * len(b):
+                break
+            if 100 * len(a & b) >= 80 * len(a | b):
+                low, high = sorted((find(x), find(y)), key=first.__getitem__)
+                root[high] = low
+    for row in lines.report(docs).collect():
+        kept = [
+            raw for i, raw in enumerate(own[row.doc_id].split("\n"))
+            if not raw.strip(" ") or first[find(raw.strip(" "))] == (row.doc_id, i)
+        ]
+        assert row.kept_sha256 == sha("\n".join(kept)), row.doc_id
+
+
+def test_short_lines(spark):
+    rows = [(1, "aaaaa"), (2, "aaaaaaaaa\nabcd"), (3, "abcd\nabce")]
+    found = {r.doc_id: r.n_removed for r in lines.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: 0, 2: 1, 3: 1}

@@ -82,6 +82,8 @@ def components(links: DataFrame) -> DataFrame:
 
 # Buckets choose their hub by one of so many orders of the nodes.
 ORDERS = 2
+# Rounds at least; they settle buckets of up to one more node than that.
+ROUNDS = 3
 
 
 def prefix_pairs(tokens: DataFrame, percent: int) -> DataFrame:
@@ -124,10 +126,11 @@ def linked_in_buckets(members: DataFrame, confirmed, tokens_of, percent: int) ->
     `members` has `bucket`, `node`; `confirmed` keeps the pairs `a`, `b` that are links;
     `tokens_of` gives `node`, `token` for a stored table of `node`. In each round every node is
     tried against one hub of its bucket that lies in another component; hubs differ by round
-    and, in a few orders, by bucket. That settles groups of copies of any size with a few pairs
-    per member. When a round no longer links a tenth of the nodes it tried, nodes that still lie
-    in a bucket with other components are compared by their rarest tokens. No pair that could
-    join two components is left out.
+    and, in a few orders, by bucket. A hub leaves its bucket: it is linked with all others there
+    or was tried against them. That settles small buckets, and groups of copies of any size with
+    a few pairs per member. When a later round no longer links a tenth of the nodes it tried, nodes
+    that still lie in a bucket with other components are compared by their rarest tokens. No
+    pair that could join two components is left out.
     """
     shared = Stored(
         members.join(
@@ -151,18 +154,20 @@ def linked_in_buckets(members: DataFrame, confirmed, tokens_of, percent: int) ->
         )
         found = Stored(confirmed(tried.frame))
         n, gained = tried.frame.count(), found.frame.count()
+        rest = shared.frame.join(hubs, "bucket").where("node <> hub.node").select("bucket", "node", "component")
         if gained:
             links = found.frame if links is None else links.union(found.frame)
             of = components(links)
-            following = Stored(
-                shared.frame.drop("component").join(of, "node", "left")
+            rest = (
+                rest.drop("component").join(of, "node", "left")
                 .select("bucket", "node", F.coalesce("component", "node").alias("component"))
             )
-            shared.drop()
-            shared = following
+        following = Stored(rest)
+        shared.drop()
+        shared = following
         tried.drop()
         turn += 1
-        if 10 * gained < n or not n:
+        if not n or (turn >= ROUNDS and 10 * gained < n):
             break
     left = Stored(
         shared.frame.join(
