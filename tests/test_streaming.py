@@ -99,7 +99,9 @@ def test_second_batch_adds(feed):
     assert f.store.partials("month_hotel").isEmpty()
     assert f.store.processed_up_to() == 1
     assert sorted(r["id"] for r in f.store.run_log().collect()) == [0, 1]
-    assert [p.name for p in (f.folder / "store" / "run_log").iterdir()] == ["batch_id=1"]
+    assert [p.name for p in (f.folder / "store" / "run_log").iterdir()] == ["batch_id=-3"]
+    f.store.prune(keep_versions=1)
+    assert f.store.processed_up_to() == 1
     assert [p.name for p in (f.folder / "store" / "totals").iterdir()] == ["version=2"]
 
 

@@ -3,7 +3,8 @@
     landed/batch_id=N/source=S/outcome=O    decoded messages; rejects keep text and reason
     cubes/<kind>/batch_id=N                 the two rollups of one processed batch
     partials/batch_id=N/table=T             the eleven statistics of one processed batch
-    run_log/batch_id=N                      one row; its presence commits batch N
+    run_log/batch_id=N                      one row; its presence commits batch N; below zero,
+                                            gathered rows of folded batches
     totals/version=K/table=T                the eleven totals
     fold_log/version=K                      one row; its presence commits version K
 
@@ -23,7 +24,6 @@ from tripstats.operators.fold import one_table, pending_counts
 from tripstats.operators.gate import backlog, peek
 from tripstats.plans import reports
 from tripstats.schemas import RUN_LOG, WIDE_SCHEMA, stat_table
-from tripstats.session import written
 
 _LANDED = (
     "company_id STRING, event_timestamp TIMESTAMP, id_hotel BIGINT, valor DOUBLE, "
@@ -156,8 +156,7 @@ class Store:
     def processed_up_to(self) -> int:
         """Last committed batch, -1 before the first.
 
-        A folded batch is committed whatever became of its log row, so a prune that stops while
-        it gathers the log makes no batch run again.
+        A folded batch is committed whatever became of its log row.
         """
         log = self._read("run_log", RUN_LOG)
         return max(log.agg(F.coalesce(F.max("id"), F.lit(-1))).first()[0], self.folded()[1])
@@ -181,26 +180,32 @@ class Store:
     def prune(self, keep_versions: int = 2) -> None:
         """Drop what totals have consumed: folded partials and versions before the last ones.
 
-        Also gathers the log rows of folded batches in one folder. Nothing that is still to be
-        read is touched, so it may run between any two folds.
+        Also gathers the log rows of folded batches in one folder, numbered below zero, which
+        stands before the folders it replaces go; a run that is there twice counts once. Nothing
+        that is still to be read is touched, so it may stop anywhere, and run between any two
+        folds.
         """
         version, up_to = self.folded()
-        old_runs = written(self.run_log().where(F.col("id") <= up_to).coalesce(1))
-        if old_runs.isEmpty():
+        single = self._read("run_log", f"{RUN_LOG}, batch_id BIGINT").where(F.col("batch_id") >= 0)
+        if single.where(F.col("id") <= up_to).isEmpty():
             return
-        self._replace(old_runs, f"run_log/batch_id={up_to}")
-        self._drop("run_log/batch_id", up_to - 1)
+        gathered = -2 - up_to
+        self._replace(
+            self.run_log().where(F.col("id") <= up_to), f"run_log/batch_id={gathered}"
+        )
+        self._drop("run_log/batch_id", up_to, keep=gathered)
         self._drop("partials/batch_id", up_to)
         self._drop("totals/version", version - keep_versions)
         self._drop("fold_log/version", version - keep_versions)
 
-    def _drop(self, folders: str, up_to: int) -> None:
-        """Delete the numbered folders `folders`=0..up_to that are there."""
+    def _drop(self, folders: str, up_to: int, keep: int | None = None) -> None:
+        """Delete the numbered folders `folders`=..up_to that are there, all but `keep`."""
         jvm = self.spark._jvm
         pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folders}=*")
         files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
         for status in files.globStatus(pattern) or []:
-            if int(status.getPath().getName().split("=")[1]) <= up_to:
+            number = int(status.getPath().getName().split("=")[1])
+            if number <= up_to and number != keep:
                 files.delete(status.getPath(), True)
 
     def wide_totals(self, version: int | None = None) -> DataFrame:
