@@ -105,6 +105,27 @@ def test_second_batch_adds(feed):
     assert [p.name for p in (f.folder / "store" / "totals").iterdir()] == ["version=2"]
 
 
+def test_prune_that_stops_counts_nothing_twice(feed, monkeypatch):
+    f = feed()
+    f.push(golden.hotel_messages(), golden.flight_messages())
+    f.run()
+    fold_all(f.store)
+
+    def stop(*_, **__):
+        raise OSError("stopped")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Store, "_drop", stop)
+        with pytest.raises(OSError):
+            f.store.prune()
+    assert f.store.processed_up_to() == 0
+    assert [r["id"] for r in f.store.run_log().collect()] == [0]
+    f.store.prune()
+    f.run()
+    assert fold_all(f.store) is None
+    assert f.totals() == golden.EXPECTED
+
+
 def test_replayed_batch_changes_nothing(feed, spark):
     f = feed()
     batch = decode_both(
