@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstats.llm.shared import Stored, beside, components, linked_in_buckets
+from tripstats.llm.shared import Stored, beside, components, crowded, linked_in_buckets
 
 WORDS = 5
 BANDS, ROWS = 28, 4  # a pair at 0.75 shares no band once in 40,000 times
@@ -181,8 +181,8 @@ def near_copies(docs: DataFrame, percent: int = 75) -> DataFrame:
         sets = beside(named, nodes, ["node"], "left_semi").mapInArrow(_arrays, "node long, tokens array<long>")
         return sets.select("node", F.explode("tokens").alias("token")).distinct()
 
-    members = chosen.frame.select(F.explode("bands").alias("bucket"), "node").distinct()
-    found = components(linked_in_buckets(members, confirmed, tokens_of, percent))
+    shared = crowded(chosen.frame.select(F.explode("bands").alias("bucket"), "node"))
+    found = components(linked_in_buckets(shared, confirmed, tokens_of, percent))
     of = Stored(
         classes.frame.join(found, "node", "left")
         .select("digest", F.coalesce("component", "node").alias("component"))

@@ -86,14 +86,25 @@ ORDERS = 2
 ROUNDS = 3
 
 
-def prefix_pairs(tokens: DataFrame, percent: int) -> DataFrame:
+def crowded(members: DataFrame) -> Stored:
+    """The `bucket`, `node` of `members` whose bucket has several nodes; rows may repeat."""
+    buckets = Stored(
+        members.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("bucket"),
+        release=True,
+    )
+    found = Stored(beside(members, buckets, ["bucket"], "left_semi").distinct())
+    buckets.drop()
+    return found
+
+
+def prefix_pairs(tokens: DataFrame, percent: int, buckets: DataFrame | None = None) -> DataFrame:
     """Pairs `a`, `b` of nodes of different components that may reach a Jaccard similarity.
 
     `tokens` has `node`, `component` and the distinct tokens of each node, one per row. Two sets
     that are similar enough share one of their rarest tokens: of n, the first
     n - ceil(percent * n / 100) + 1, and what follows the first one they share is long enough for
     the rest. No similar pair is left out, and copies that differ in more words than that do not
-    meet, however many there are.
+    meet, however many there are. With `buckets` (`bucket`, `node`) only nodes that share one meet.
     """
     tokens = Stored(tokens)
     seen = tokens.frame.groupBy("token").agg(
@@ -107,6 +118,9 @@ def prefix_pairs(tokens: DataFrame, percent: int) -> DataFrame:
         .where(F.col("rank") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1)
         .where("x < y").select("token", "node", "component", "n", "rank")
     )
+    if buckets is not None:
+        rarest = rarest.join(buckets, "node").withColumn("token", F.xxhash64("bucket", "token"))
+        rarest = rarest.select("token", "node", "component", "n", "rank")
     rarest = Stored(rarest).frame
     tokens.drop()
     return (
@@ -120,41 +134,36 @@ def prefix_pairs(tokens: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def linked_in_buckets(members: DataFrame, confirmed, tokens_of, percent: int) -> DataFrame:
+def linked_in_buckets(shared: Stored, confirmed, tokens_of, percent: int, within: bool = False) -> DataFrame:
     """Links between the nodes of each bucket, as many as fix the components.
 
-    `members` has `bucket`, `node`; `confirmed` keeps the pairs `a`, `b` that are links;
+    `shared` has `bucket`, `node` as `crowded` gives them, and is dropped; `confirmed` keeps the pairs `a`, `b` that are links;
     `tokens_of` gives `node`, `token` for a stored table of `node`. In each round every node is
     tried against one hub of its bucket that lies in another component; hubs differ by round
     and, in a few orders, by bucket. A hub leaves its bucket: it is linked with all others there
     or was tried against them. That settles small buckets, and groups of copies of any size with
     a few pairs per member. When a later round no longer links a tenth of the nodes it tried, nodes
-    that still lie in a bucket with other components are compared by their rarest tokens. No
-    pair that could join two components is left out.
+    that still lie in a bucket with other components are compared by their rarest tokens; `within`:
+    only with nodes of their buckets, for tokens of which many are common. No pair of a bucket that
+    could join two components is left out.
     """
-    shared = Stored(
-        members.join(
-            members.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y"))
-            .where("x < y").select("bucket"),
-            "bucket", "left_semi",
-        ).withColumn("component", F.col("node"))
-    )
     links: DataFrame | None = None
+    current = shared.frame.withColumn("component", F.col("node"))
     turn = 0
     while True:
         order = F.xxhash64("node", F.pmod("bucket", F.lit(ORDERS)) + F.lit(ORDERS * turn))
         hubs = (
-            shared.frame.groupBy("bucket")
+            current.groupBy("bucket")
             .agg(F.min_by(F.struct("node", "component"), order).alias("hub"), F.min("component").alias("x"), F.max("component").alias("y"))
             .where("x < y").select("bucket", "hub")
         )
         tried = Stored(
-            shared.frame.join(hubs, "bucket").where("component <> hub.component")
+            current.join(hubs, "bucket").where("component <> hub.component")
             .select(F.greatest("node", "hub.node").alias("a"), F.least("node", "hub.node").alias("b")).distinct()
         )
         found = Stored(confirmed(tried.frame))
         n, gained = tried.frame.count(), found.frame.count()
-        rest = shared.frame.join(hubs, "bucket").where("node <> hub.node").select("bucket", "node", "component")
+        rest = current.join(hubs, "bucket").where("node <> hub.node").select("bucket", "node", "component")
         if gained:
             links = found.frame if links is None else links.union(found.frame)
             of = components(links)
@@ -164,19 +173,21 @@ def linked_in_buckets(members: DataFrame, confirmed, tokens_of, percent: int) ->
             )
         following = Stored(rest)
         shared.drop()
-        shared = following
+        shared, current = following, following.frame
         tried.drop()
         turn += 1
         if not n or (turn >= ROUNDS and 10 * gained < n):
             break
     left = Stored(
-        shared.frame.join(
-            shared.frame.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        current.join(
+            current.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
             .where("x < y").select("bucket"),
             "bucket", "left_semi",
-        ).select("node", "component").distinct()
+        )
     )
     shared.drop()
-    nodes = Stored(left.frame.select("node"))
-    rest = Stored(confirmed(prefix_pairs(tokens_of(nodes).join(left.frame, "node"), percent))).frame
+    nodes = Stored(left.frame.select("node", "component").distinct())
+    tokens = tokens_of(nodes).join(nodes.frame, "node")
+    buckets = left.frame.select("bucket", "node") if within else None
+    rest = Stored(confirmed(prefix_pairs(tokens, percent, buckets))).frame
     return rest if links is None else links.union(rest)
