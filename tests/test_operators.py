@@ -246,6 +246,26 @@ def test_dense_months_and_rolling_mean(spark):
     assert means(True) == [1.0, 2.0, 5.0]
 
 
+def test_reports_come_in_order(spark):
+    rows = [("B", 3, 1.0), ("A", 7, 2.0), ("B", 1, 5.0), ("A", 2, 9.0), ("A", 1, 4.0)]
+    stats = spark.createDataFrame(rows, "company_id STRING, mes_reserva INT, sum_valor DOUBLE").repartition(4)
+    assert [tuple(r) for r in reports.by_value(stats, "sum_valor").collect()] == sorted(
+        rows, key=lambda r: (r[0], r[2])
+    )
+    assert [tuple(r) for r in reports.by_key(stats, "mes_reserva").collect()] == sorted(rows)
+    months = [(r.company_id, r.month_num) for r in reports.month_report(stats, "sum_valor").collect()]
+    assert months == [(c, m) for c in "AB" for m in range(1, 13)]
+
+
+def test_pending_batches_are_chosen_at_the_scan(spark, testdata):
+    from tripstats.plans.queries import registered
+
+    plan = registered()["pending_partials"](spark, testdata)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Filter" in line and "> 199" in line]
+    assert sum("Relation" in line for line in below) == 2
+
+
 def test_city_report(spark):
     revenue = [(f"c{i:02d}", float(i)) for i in range(1, 13)]
     rows = [("A", c, v) for c, v in revenue] + [

@@ -19,6 +19,7 @@ FLIGHT_RULES = {
     "id_voo_not_null": "id_voo IS NOT NULL",
     "cidade_origem_not_null": "cidade_origem IS NOT NULL",
     "cidade_destino_not_null": "cidade_destino IS NOT NULL",
+    "origem_differs": "cidade_origem <> cidade_destino",
     "dia_1_to_31": "dia BETWEEN 1 AND 31",
     "mes_1_to_12": "mes BETWEEN 1 AND 12",
     "ano_positive": "ano > 0",

@@ -14,9 +14,14 @@ STARS = range(1, 6)
 
 
 def dense_axis(
-    stats: DataFrame, key: str, axis: Iterable[int], values: Sequence[str], axis_name: str
+    stats: DataFrame,
+    key: str,
+    axis: Iterable[int],
+    values: Sequence[str],
+    axis_name: str,
+    per: Sequence[str] = ("company_id",),
 ) -> DataFrame:
-    """One row per company and axis point; missing points get 0, keys off the axis drop.
+    """One row per company, or `per`, and axis point; missing points get 0, keys off the axis drop.
 
     Equivalent to a left join of companies x axis with the statistics, but reads `stats` once
     and needs neither a cross join nor a list of companies: one aggregate per company with a
@@ -37,7 +42,7 @@ def dense_axis(
         for point in axis
     ]
     return (
-        keyed.groupBy("company_id")
+        keyed.groupBy(*per)
         .agg(F.array(*slots).alias("_slots"))
-        .select("company_id", F.inline("_slots"))
+        .select(*per, F.inline("_slots"))
     )

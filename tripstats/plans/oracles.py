@@ -201,7 +201,7 @@ def _violations() -> str:
         "id_voo_not_null": "id_voo IS NOT NULL",
         "cidade_origem_not_null": "cidade_origem IS NOT NULL",
         "cidade_destino_not_null": "cidade_destino IS NOT NULL",
-        "dia_1_to_31": "dia BETWEEN 1 AND 31", "mes_1_to_12": "mes BETWEEN 1 AND 12",
+        "origem_differs": "cidade_origem <> cidade_destino", "dia_1_to_31": "dia BETWEEN 1 AND 31", "mes_1_to_12": "mes BETWEEN 1 AND 12",
         "ano_positive": "ano > 0"})
     parts += rows("month_hotel", "hm", "company_id, mes_reserva", {
         "company_id_not_null": "company_id IS NOT NULL",
@@ -272,7 +272,9 @@ def registered() -> dict[str, str]:
             "SELECT id_voo, company_id, valor, data_reserva, cidade_origem, cidade_destino FROM sp",
             "sp"),
         "city_filter_any_spelling": _sql(
-            """SELECT company_id, cidade_origem, cidade_destino, count(*) AS num_voos_reservados
+            """SELECT company_id, CASE id_voo % 3 WHEN 0 THEN cidade_origem
+                 WHEN 1 THEN lower(cidade_origem) ELSE translate(cidade_origem, 'AI', 'ÃÍ') END
+                 AS cidade_origem, cidade_destino, count(*) AS num_voos_reservados
             FROM sp GROUP BY ALL""", "sp"),
         "city_month_hotel": _sql(
             f"SELECT company_id, cidade, mes_reserva, {_double('sum(v)', 'sum_valor')} "
@@ -341,6 +343,11 @@ def registered() -> dict[str, str]:
         "fold_total_revenue": _sql(_per_batch("month"), "jh", "jv"),
         "fold_ticket": _sql(_per_batch("city"), "jh", "jv"),
         "pending_partials": _pending(),
+        "upsert_days": _sql(
+            f"""SELECT company_id, CAST(data_reserva AS DATE) AS data_reserva,
+               count(*) AS num_reservas,
+               nullif(count(*) FILTER (lote <= {FOLDED_UP_TO}), 0) AS antes_num_reservas
+            FROM sp GROUP BY ALL""", "sp"),
         "month_spine_hotel": _sql(_spine("hm", "s", "0", "DOUBLE", "sum_valor"), "hm"),
         "month_spine_flight": _sql(_spine("vm", "s", "0", "DOUBLE", "sum_valor"), "vm"),
         "month_spine_total": _sql(_spine("tot", "s", "0", "DOUBLE", "total_valor"), "tot"),
@@ -349,8 +356,15 @@ def registered() -> dict[str, str]:
         "month_spine_city_flights": _sql(
             _spine("sm", "n", "0", "BIGINT", "num_voos_reservados", "mes"), "sm"),
         "month_spine_gaps": _sql(
-            ", caros AS (SELECT company_id, mes_reserva, sum(v) AS s FROM jv WHERE valor > 499500 "
-            "GROUP BY ALL) " + _spine("caros", "s", "0", "DOUBLE", "sum_valor"), "jv"),
+            """, rotas AS (SELECT company_id, cidade_origem, cidade_destino, mes_reserva, sum(v) AS s
+                 FROM jv GROUP BY ALL)
+            SELECT c.*, CAST(m AS INTEGER) AS month_num,
+               strftime(make_date(2000, m, 1), '%b') AS month_name,
+               CAST(coalesce(s, 0) AS DOUBLE) AS sum_valor
+            FROM (SELECT DISTINCT company_id, cidade_origem, cidade_destino FROM rotas) c
+            CROSS JOIN range(1, 13) r(m) LEFT JOIN rotas x ON x.company_id = c.company_id
+            AND x.cidade_origem = c.cidade_origem AND x.cidade_destino = c.cidade_destino
+            AND x.mes_reserva = m""", "jv"),
         "star_spine": _sql(
             """SELECT c.company_id, CAST(e AS INTEGER) AS estrelas,
                CAST(coalesce(n, 0) AS BIGINT) AS num_reservas

@@ -82,9 +82,13 @@ def city_filter_flights(t: Tables) -> DataFrame:
 
 @_query
 def city_filter_any_spelling(t: Tables) -> DataFrame:
-    flights = lookup.flights_of_city(
-        t.flight_events, t.flight_dim, "Nátion_0", any_spelling=True
+    spelling = (
+        F.when(F.col("id_voo") % 3 == 0, F.col("cidade_origem"))
+        .when(F.col("id_voo") % 3 == 1, F.lower("cidade_origem"))
+        .otherwise(F.translate("cidade_origem", "AI", "ÃÍ"))
     )
+    spelled = t.flight_dim.reshaped(lambda d: d.withColumn("cidade_origem", spelling))
+    flights = lookup.flights_of_city(t.flight_events, spelled, "Nátion_0", any_spelling=True)
     return flights.groupBy("company_id", "cidade_origem", "cidade_destino").agg(
         F.count(F.lit(1)).alias("num_voos_reservados")
     )
@@ -234,10 +238,13 @@ def ticket_inputs_bookings(t: Tables) -> DataFrame:
     )
 
 
-def _cubes(t: Tables, also: list[str]) -> tuple[DataFrame, DataFrame]:
+def _cubes(
+    t: Tables, also: list[str], batches: str = "true"
+) -> tuple[DataFrame, DataFrame]:
+    """Both cubes of the `batches`; others are dropped while events are scanned."""
     return (
-        hotel_cube(t.hotel_events, t.hotel_dim, also),
-        flight_cube(t.flight_events, t.flight_dim, CITY, also=also),
+        hotel_cube(t.hotel_events.where(batches), t.hotel_dim, also),
+        flight_cube(t.flight_events.where(batches), t.flight_dim, CITY, also=also),
     )
 
 
@@ -366,10 +373,25 @@ def fold_ticket(t: Tables) -> DataFrame:
 
 @_query
 def pending_partials(t: Tables) -> DataFrame:
-    wide = wide_statistics(*_cubes(t, BATCH), also=BATCH)
+    wide = wide_statistics(*_cubes(t, BATCH, f"batch_id > {FOLDED_UP_TO}"), also=BATCH)
     return fold.pending_counts(wide, FOLDED_UP_TO)
 
 
+@_query
+def upsert_days(t: Tables) -> DataFrame:
+    """New batches folded into totals that stand: days known, new, and without new rows.
+
+    `antes` is the total before, null for a new day.
+    """
+    table = stat_table("day_sp_voos")
+    partials = _day_city(t, BATCH)
+    totals = fold.fold(table, partials.where(F.col("batch_id") <= FOLDED_UP_TO))
+    after = fold.fold(table, totals, partials.where(F.col("batch_id") > FOLDED_UP_TO))
+    keys = ["company_id", *table.keys]
+    before = totals.withColumnsRenamed({v: f"antes_{v}" for v in table.values})
+    return after.join(before, keys, "left")
+
+
 # --- reports ---------------------------------------------------------------------------------
 
 
@@ -400,10 +422,10 @@ def month_spine_city_flights(t: Tables) -> DataFrame:
 
 @_query
 def month_spine_gaps(t: Tables) -> DataFrame:
-    """A company with few reservations: only orders of high value, months without are 0."""
-    large = t.flight_events.where("valor > 499500")
-    months = rollup(large, t.flight_dim, MONTH).drop("num_reservas")
-    return reports.month_report(months, "sum_valor")
+    """Months of each route: many have no reservation and are 0."""
+    route = ["company_id", "cidade_origem", "cidade_destino"]
+    months = rollup(t.flight_events, t.flight_dim, [*route, "mes_reserva"]).drop("num_reservas")
+    return reports.month_report(months, "sum_valor", per=route)
 
 
 @_query
@@ -443,7 +465,7 @@ def _spelled_hotel_cities(t: Tables) -> DataFrame:
         .otherwise(F.translate("cidade", "AI", "ÃÍ"))
     )
     spelled = t.hotel_dim.reshaped(lambda d: d.withColumn("cidade", spelling))
-    return t.written(rollup(t.hotel_events, spelled, HOTEL_CITY).drop("num_reservas"))
+    return rollup(t.hotel_events, spelled, HOTEL_CITY).drop("num_reservas")
 
 
 @_query

@@ -23,16 +23,32 @@ def of_company(stats: DataFrame, company: str) -> DataFrame:
     return stats.where(F.col("company_id") == company)
 
 
-def month_report(stats: DataFrame, value: str, key: str = "mes_reserva") -> DataFrame:
-    """Twelve rows per company with the month's name, 0 where a month has no data."""
-    dense = dense_axis(stats, key, MONTHS, [value], "month_num")
+def by_value(stats: DataFrame, value: str) -> DataFrame:
+    """Rows of each company from the lowest value up; ties by the other columns."""
+    rest = [c for c in stats.columns if c not in ("company_id", value)]
+    return stats.orderBy("company_id", value, *rest)
+
+
+def by_key(stats: DataFrame, *keys: str) -> DataFrame:
+    """Rows of each company by `keys`, such as its months or stars."""
+    return stats.orderBy("company_id", *keys)
+
+
+def month_report(
+    stats: DataFrame,
+    value: str,
+    key: str = "mes_reserva",
+    per: Sequence[str] = ("company_id",),
+) -> DataFrame:
+    """Twelve rows in order per company, or `per`, with the month's name, 0 for no data."""
+    dense = dense_axis(stats, key, MONTHS, [value], "month_num", per)
     name = month_name("month_num").alias("month_name")
-    return dense.select("company_id", "month_num", name, value)
+    return dense.select(*per, "month_num", name, value).orderBy(*per, "month_num")
 
 
 def star_report(stats: DataFrame) -> DataFrame:
-    """Bookings for each of 1..5 stars, in that order when sorted by `estrelas`."""
-    return dense_axis(stats, "estrelas", STARS, ["num_reservas"], "estrelas")
+    """Bookings for each of 1..5 stars, in that order."""
+    return by_key(dense_axis(stats, "estrelas", STARS, ["num_reservas"], "estrelas"), "estrelas")
 
 
 def mean_star_report(stats: DataFrame) -> DataFrame:
@@ -43,7 +59,7 @@ def mean_star_report(stats: DataFrame) -> DataFrame:
         "month_num",
         month_name("month_num").alias("month_name"),
         safe_ratio("sum_estrelas", "num_reservas").alias("media_estrelas"),
-    )
+    ).orderBy("company_id", "month_num")
 
 
 def ticket_report(stats: DataFrame) -> DataFrame:
@@ -95,7 +111,7 @@ def city_report(
     Mandatory cities without a row count as 0. The n extreme rows are taken first, then
     spellings of one city merge into the first of them; places freed that way go to mandatory
     cities not shown yet, in their order, with their true revenue. Reads `stats` more than
-    once, so hand it a table, not a rollup.
+    once; hand it a table where a rollup would be dear.
     """
     padded = stats.select("company_id", "cidade", "sum_valor").unionByName(
         missing_cities(stats, mandatory).withColumn("sum_valor", F.lit(0.0))
@@ -125,7 +141,7 @@ def rolling_report(daily: DataFrame, calendar: bool = False) -> DataFrame:
     mean = rolling_mean(
         daily, "num_reservas", "data_reserva", "media_movel_7dias", 7, calendar=calendar
     )
-    return mean.select("company_id", "data_reserva", "media_movel_7dias")
+    return by_key(mean.select("company_id", "data_reserva", "media_movel_7dias"), "data_reserva")
 
 
 def clients(*stats: DataFrame) -> DataFrame:
