@@ -90,6 +90,43 @@ def test_substrings(tables):
         assert (row.n_words, row.n_removed, row.kept_sha256) == (len(own), len(gone), hashlib.sha256(kept).hexdigest())
 
 
+def test_crowded_anchors(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    phrase, passage = [f"p{i}" for i in range(12)], [f"q{i}" for i in range(16)]
+    rows = []
+    for d in range(200):
+        own = [f"w{x}" for x in rng.integers(0, 10**9, 40)]
+        rows.append((d, " ".join(own[:15] + phrase + own[15:30] + passage * (d % 3 == 0) + own[30:] + ["a"] * (d % 50))))
+    rows += [(1000 + d, rows[d][1]) for d in range(0, 200, 20)]
+    search = substrings._search
+
+    def bounded(batches):
+        def watched():
+            runs = Counter()
+            for batch in batches:
+                runs.update(batch.column(0).to_pylist())
+                assert max(runs.values(), default=0) <= 40
+                yield batch
+
+        yield from search(watched())
+
+    monkeypatch.setattr(substrings, "_search", bounded)
+    monkeypatch.setattr(substrings, "ANCHOR_WORDS", 500, raising=False)
+    first = {}
+    for d, text in rows:
+        words = text.split()
+        for i in range(len(words) - 12):
+            first.setdefault(tuple(words[i : i + 13]), d)
+    expected = {}
+    for d, text in rows:
+        words = text.split()
+        gone = {i + k for i in range(len(words) - 12) if first[tuple(words[i : i + 13])] < d for k in range(13)}
+        expected[d] = (len(gone), sha(" ".join(w for i, w in enumerate(words) if i not in gone)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in substrings.report(docs).collect()} == expected
+    assert sum(n for n, _ in expected.values()) > 1000
+
+
 def test_packing(tables):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -4,6 +4,9 @@ Every shard would have to see every document if it held documents. Here a shard
 of all documents that share an anchor: of each window of WINDOW words, the smallest hash of its
 ANCHOR-word sequences. Equal windows have equal anchors, so they meet in one shard, and a part
 whose anchor no other document has meets nobody and never leaves its task.
+
+An anchor with more different parts than a shard should hold is not indexed: its parts are cut
+into windows, and a window's documents are found by an aggregate over all of them.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +26,7 @@ from tripstats.llm.shared import Stored, beside
 WINDOW = 13
 ANCHOR = 6
 SHARD_WORDS = 2_000_000  # words after which a shard is closed, at the next anchor
+ANCHOR_WORDS = 100_000  # words in different parts up to which an anchor is indexed
 
 
 def anchors(words: list[bytes], hashes: WordHashes) -> np.ndarray:
@@ -208,6 +213,51 @@ def _search(batches):
         yield close()
 
 
+def _windows(batches):
+    """Windows of runs, in order, as digests: anchor, key of the run, place, digest, first document."""
+    for batch in batches:
+        rows = []
+        for a, key, raw, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            words = raw.split(b" ")
+            for x in range(len(words) - WINDOW + 1):
+                rows.append((a, key, x, xxhash.xxh3_128_digest(b" ".join(words[x : x + WINDOW])), first))
+                if len(rows) == 50_000:
+                    yield _window_batch(rows)
+                    rows = []
+        if rows:
+            yield _window_batch(rows)
+
+
+def _window_batch(rows):
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+        names=["anchor", "key", "at", "window", "first"],
+    )
+
+
+def _crowded_answers(distinct: DataFrame) -> Stored:
+    """The rows `_search` would give for runs anchor, key, words, first of any number."""
+    windows = Stored(
+        distinct.mapInArrow(_windows, "anchor long, key long, at int, window binary, first long"), release=True
+    )
+    # Most windows are in one run only; these keep that run's first document.
+    met = Stored(
+        windows.frame.groupBy("window").agg(F.min("first").alias("low"), F.count("*").alias("n"))
+        .where("n > 1").select("window", "low"),
+        release=True,
+    )
+    answers = Stored(
+        beside(windows.frame, met, ["window"], "left").groupBy("anchor", "key")
+        .agg(F.sort_array(F.collect_list(F.struct("at", F.least("first", "low").alias("first")))).alias("found"))
+        .select("anchor", "key", F.col("found.first").alias("firsts")),
+        release=True,
+    )
+    windows.drop()
+    met.drop()
+    return answers
+
+
 def _finish(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
     rows = []
     for text, runs in zip(texts, covered, strict=True):
@@ -250,14 +300,29 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     )
     wanted.drop()
     key = F.xxhash64("words").alias("key")
-    distinct = runs.frame.groupBy("anchor", "words").agg(F.min("doc_id").alias("first"))
+    # A word and the blank after it have two bytes at least: no anchor has more words than this.
+    crowded = Stored(
+        runs.frame.groupBy("anchor", key).agg(F.floor(F.max(F.octet_length("words")) / 2 + 1).alias("most"))
+        .groupBy("anchor").agg(F.sum("most").alias("most")).where(F.col("most") > ANCHOR_WORDS).select("anchor"),
+        release=True,
+    )
+
+    def distinct(how: str) -> DataFrame:
+        some = beside(runs.frame, crowded, ["anchor"], how)
+        return some.groupBy("anchor", "words").agg(F.min("doc_id").alias("first")).select("anchor", key, "words", "first")
+
     answers = Stored(
-        distinct.select("anchor", key, "words", "first").repartition("anchor").sortWithinPartitions("anchor", "key")
+        distinct("left_anti").repartition("anchor").sortWithinPartitions("anchor", "key")
         .mapInArrow(_search, "anchor long, key long, firsts array<long>"),
         release=True,
     )
+    answered = answers.frame
+    others = None if crowded.frame.isEmpty() else _crowded_answers(distinct("left_semi"))
+    if others:
+        answered = answered.union(others.frame)
+    crowded.drop()
     covered = Stored(
-        runs.frame.select("anchor", "doc_id", "start", key).join(answers.frame, ["anchor", "key"])
+        runs.frame.select("anchor", "doc_id", "start", key).join(answered, ["anchor", "key"])
         .select(
             "doc_id",
             F.filter(
@@ -270,6 +335,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     )
     runs.drop()
     answers.drop()
+    if others:
+        others.drop()
     finish = F.pandas_udf(_finish, "n_words long, n_removed long, kept_sha256 string, kept string")
     return beside(docs, covered, ["doc_id"], "left").select("doc_id", finish("text", "starts").alias("f")).select("doc_id", "f.*")
 
