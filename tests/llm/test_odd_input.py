@@ -26,6 +26,17 @@ def test_odd_rows(odd, tables):
     assert sum(r.length == 1 for r in packing.packed(odd).collect()) == 4
 
 
+def test_texts_of_one_id(spark):
+    same = " ".join(f"w{i}" for i in range(20))
+    long = " ".join(f"v{i}" for i in range(30))
+    rows = [(1, same), (2, "x y z " * 10 + same), (2, "short text"), (2, long), (2, f"{long} {same}"), (3, f"a {long}"), (3, "b"), (3, None)]
+    found = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in found) == [
+        (1, 20, 0, same), (2, 2, 0, "short text"), (2, 30, 0, long), (2, 50, 20, long), (2, 50, 20, ("x y z " * 10).strip()),
+        (3, 0, 0, ""), (3, 1, 0, "b"), (3, 31, 30, "a"),
+    ]
+
+
 def test_empty_tables(none, spark, tables):
     labels, benchmark = tables("labels").limit(0), tables("benchmark").limit(0)
     frames = (

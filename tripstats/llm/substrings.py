@@ -62,19 +62,22 @@ def _mark(batches):
 
 
 def _runs(batches):
-    """Runs of windows with the same, shared anchor: anchor, document, first word, words."""
+    """Runs of windows with the same, shared anchor: anchor, document, its text, first word, words."""
     hashes = WordHashes()
     for batch in batches:
         rows = []
-        for doc, text, shared in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+        ids, of = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for doc, row, text, shared in zip(ids, of, batch.column(2), batch.column(3), strict=True):
             words = (text.as_py() or "").encode().split()
             own = anchors(words, hashes)
+            if not len(own):
+                continue
             cuts = np.flatnonzero(np.diff(own)) + 1
             starts = np.concatenate([[0], cuts])
             ends = np.concatenate([cuts, [len(own)]])
             wanted = np.isin(own[starts], np.array(shared.as_py(), np.int64))
             for x, y in zip(starts[wanted].tolist(), ends[wanted].tolist(), strict=True):
-                rows.append((int(own[x]), doc, x, b" ".join(words[x : y + WINDOW - 1])))
+                rows.append((int(own[x]), doc, row, x, b" ".join(words[x : y + WINDOW - 1])))
             if len(rows) > 50_000:
                 yield _run_batch(rows)
                 rows = []
@@ -83,10 +86,10 @@ def _runs(batches):
 
 
 def _run_batch(rows):
-    columns = list(zip(*rows, strict=True))
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.binary())],
-        names=["anchor", "doc_id", "start", "words"],
+        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+        names=["anchor", "doc_id", "row", "start", "words"],
     )
 
 
@@ -279,9 +282,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A null text has no words. Rows without doc_id have no place in the order: they lose nothing
     and make nothing go. Rows that repeat a doc_id are one document with those texts.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    # Rows of one id are told apart by their texts.
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("row", F.xxhash64("text"))
     named = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    marked = Stored(named.mapInArrow(_mark, "anchor long, doc_id long"))
+    marked = Stored(named.select("doc_id", "text").mapInArrow(_mark, "anchor long, doc_id long"))
     marks = marked.frame
     shared = Stored(
         marks.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("anchor"),
@@ -294,8 +298,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     shared.drop()
     marked.drop()
     runs = Stored(
-        beside(named, wanted, ["doc_id"], "inner").select("doc_id", "text", "anchors")
-        .mapInArrow(_runs, "anchor long, doc_id long, start int, words binary"),
+        beside(named, wanted, ["doc_id"], "inner").select("doc_id", "row", "text", "anchors")
+        .mapInArrow(_runs, "anchor long, doc_id long, row long, start int, words binary"),
         release=True,
     )
     wanted.drop()
@@ -322,15 +326,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         answered = answered.union(others.frame)
     crowded.drop()
     covered = Stored(
-        runs.frame.select("anchor", "doc_id", "start", key).join(answered, ["anchor", "key"])
+        runs.frame.select("anchor", "doc_id", "row", "start", key).join(answered, ["anchor", "key"])
         .select(
-            "doc_id",
+            "doc_id", "row",
             F.filter(
                 F.transform("firsts", lambda first, i: F.when(first < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull()
             ).alias("starts"),
         )
         .where(F.size("starts") > 0)
-        .groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts")),
+        .groupBy("doc_id", "row").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts")),
         release=True,
     )
     runs.drop()
@@ -338,7 +342,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     if others:
         others.drop()
     finish = F.pandas_udf(_finish, "n_words long, n_removed long, kept_sha256 string, kept string")
-    return beside(docs, covered, ["doc_id"], "left").select("doc_id", finish("text", "starts").alias("f")).select("doc_id", "f.*")
+    return beside(docs, covered, ["doc_id", "row"], "left").select("doc_id", finish("text", "starts").alias("f")).select("doc_id", "f.*")
 
 
 def report(docs: DataFrame) -> DataFrame:
