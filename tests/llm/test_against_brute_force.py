@@ -57,6 +57,13 @@ def test_weak_parts_need_company(spark):
     assert found == {1: "weak_id:0:18,weak_key:21:45,endpoint:49:73", 2: "", 3: "", 4: ""}
 
 
+def test_weak_keys_are_whole(spark):
+    key = "z" * 250 + "B1" + "y" * 20
+    rows = [(1, f"client_id=abcd1234 x {key}== x"), (2, f"client_id=abcd1234 x {'z' * 300} {'Z1' * 20} x")]
+    found = {r.doc_id: r.spans for r in credentials.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: f"weak_id:0:18,weak_key:21:{21 + len(key) + 2}", 2: ""}
+
+
 def test_rules(tables):
     docs = tables("documents")
     own = texts(docs)

@@ -17,7 +17,8 @@ BUCKET = 256
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 # Kind, pattern, role. Runs of a class are matched whole, so a lower bound in the pattern drops
-# the short ones; a short assignment still takes up its characters and is dropped afterwards.
+# the short ones; a short assignment still takes up its characters and is dropped afterwards, as
+# is a weak key without a digit, an upper and a lower case letter.
 BASE = (
     ("assign", ASSIGN, "secret"),
     ("access", r"AKIA[A-Z0-9]{14,}", "id"),
@@ -25,7 +26,7 @@ BASE = (
 )
 WEAK = (
     ("weak_id", r"""(?i:access_?key(?:_?id)?|client_?id|user(?:name)?|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{4,}""", "id"),
-    ("weak_key", r"(?=[A-Za-z0-9+/]{0,200}[0-9])(?=[A-Za-z0-9+/]{0,200}[A-Z])(?=[A-Za-z0-9+/]{0,200}[a-z])[A-Za-z0-9+/]{20,}={0,2}", "secret"),
+    ("weak_key", r"[A-Za-z0-9+/]{20,}={0,2}", "secret"),
     ("endpoint", r"""(?i:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp|ssh)://[^\s"'<>]{4,}""", "endpoint"),
 )
 # Characters that mark matches; those a text has itself are exchanged for a third, one for one.
@@ -45,6 +46,8 @@ def _spans(text: Column, kind: str, order: int, pattern: str, role: str) -> Colu
         match = seen["odd"]
         if kind == "assign":
             match = match & (F.length(F.regexp_extract(piece, pattern, 2)) >= 12)
+        if kind == "weak_key":
+            match = match & piece.rlike("[0-9]") & piece.rlike("[A-Z]") & piece.rlike("[a-z]")
         found = F.when(match, F.concat(seen["found"], F.array(span))).otherwise(seen["found"])
         return F.struct(end.alias("at"), (~seen["odd"]).alias("odd"), found.alias("found"))
 
