@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripstats.llm import (
+    conversations,
     credentials,
     decontamination,
     html_text,
     language,
     lines,
     near_copies,
+    oracles,
     packing,
     quality,
     rules,
@@ -63,6 +65,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(read(spark, sf_dir, "conversations"))
+
+
 def registered() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
@@ -108,4 +114,8 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the exact operators. The others fit models, tokenize, or add links by method."""
-    return {"op3_substring_dedup": _SUBSTRINGS, "op6_decontamination": _DECONTAMINATION}
+    return {
+        "op3_substring_dedup": _SUBSTRINGS,
+        "op6_decontamination": _DECONTAMINATION,
+        "op12_conversation_repair": oracles.CONVERSATIONS,
+    }
