@@ -77,3 +77,29 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
   coalesce(b.a, '') AS audit, sha256(coalesce(substr(b.t, 2), '')) AS repaired_sha256
 FROM original o LEFT JOIN best ON o.conv_id IS NOT DISTINCT FROM best.conv_id
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+phrases AS (
+  SELECT lang, k, w[i:i + k - 1] AS p, count(*) AS a FROM places, range(1, 6) AS sizes(k)
+  WHERE i + k - 1 <= len(w) GROUP BY lang, k, p HAVING count(*) >= 100
+), cuts AS (SELECT lang, p, k, a, unnest(range(1, k)) AS c FROM phrases WHERE k > 1),
+scores AS (
+  SELECT x.lang, x.p, x.a, n, c, f.a AS l, g.a AS r, CAST(CAST(1000 AS HUGEINT) * x.a * n // (CAST(f.a AS HUGEINT) * g.a) AS BIGINT) AS score
+  FROM cuts x JOIN totals USING (lang)
+  JOIN phrases f ON f.lang = x.lang AND f.p = x.p[1:c] JOIN phrases g ON g.lang = x.lang AND g.p = x.p[c + 1:x.k]
+), best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1),
+within AS (
+  SELECT lang, p[1:k - 1] AS p, a FROM phrases WHERE k > 2 UNION ALL SELECT lang, p[2:k] AS p, a FROM phrases WHERE k > 2
+), kept AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM best b
+  WHERE NOT EXISTS (SELECT 1 FROM within w WHERE w.lang = b.lang AND w.p = b.p AND 100 * w.a >= 100 * b.a)
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripstats.llm import (
+    collocations,
     conversations,
     credentials,
     decontamination,
@@ -65,6 +66,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.report(read(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(read(spark, sf_dir, "conversations"))
 
@@ -117,5 +122,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_substring_dedup": _SUBSTRINGS,
         "op6_decontamination": _DECONTAMINATION,
+        "op11_phrase_collocations": oracles.COLLOCATIONS,
         "op12_conversation_repair": oracles.CONVERSATIONS,
     }
