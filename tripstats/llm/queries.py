@@ -15,6 +15,7 @@ from tripstats.llm import (
     language,
     lines,
     near_copies,
+    ngram_join,
     oracles,
     packing,
     quality,
@@ -74,6 +75,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(read(spark, sf_dir, "conversations"))
 
 
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.report(read(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
