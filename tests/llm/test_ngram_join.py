@@ -130,6 +130,16 @@ def test_first_look_keeps_similar_sets():
             assert all(shared >= ngram_join.expected_shared(len(x), 85) for x in (a, b))
 
 
+def test_sketches_never_differ_more():
+    rng = np.random.default_rng(8)
+    for n in (1, 10, 100, 3000):
+        for _ in range(30):
+            a = rng.integers(0, 2**63, n).astype(np.uint64)
+            b = np.concatenate([a[rng.random(n) > 0.1], rng.integers(0, 2**63, n // 10).astype(np.uint64)])
+            differing = len(np.setxor1d(a, b))
+            assert sum(int(x).bit_count() for x in (ngram_join.sketch(a) ^ ngram_join.sketch(b)).view(np.uint64)) <= differing
+
+
 def test_hashes_follow_words():
     words = WordHashes()
     assert len(ngram_join.shingles("A b c d e", words)) == 2

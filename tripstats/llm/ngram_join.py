@@ -4,7 +4,8 @@ The tokens of a set (hashes of its shingles) are ordered by how many sets have t
 Two sets that are similar enough miss few tokens of each other, so of the first ones at least one
 is common. Rare tokens are indexed as they are. Sets with too few rare tokens get a longer prefix,
 of which pairs of neighbouring frequent tokens are indexed: among enough common tokens two must
-be neighbours in both sets. Candidates are verified on the full sets.
+be neighbours in both sets. Candidates whose sketches differ too much are left out, as no pair
+differs less than its sketches do; the others are verified on the full sets.
 
 With n tokens, `lost(n)` is how many of them no set that is similar enough can lack more of.
 """
@@ -21,7 +22,8 @@ from tripstats.llm.shared import Stored, beside, components
 
 WORDS = 4
 PERCENT = 85
-RARE = 16  # a token of at most so many sets is indexed alone
+RARE = 32  # a token of at most so many sets is indexed alone
+SKETCH = 8  # words of 64 bits in which a set's tokens are marked
 ROUNDS = 4  # rounds at least in which crowded buckets are tried against one of their sets
 
 
@@ -73,11 +75,21 @@ def _first_look(percent: int):
     return look
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Bits of which each says whether an odd number of tokens fell on it."""
+    odd = np.bincount(tokens & np.uint64(64 * SKETCH - 1), minlength=64 * SKETCH).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def _tokens(batches):
     words = WordHashes()
     for batch in batches:
-        found = [shingles(text.as_py(), words).view(np.int64) for text in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "tokens"])
+        found = [shingles(text.as_py(), words) for text in batch.column(1)]
+        lists = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([t.view(np.int64) for t in found], lists), pa.array([sketch(t) for t in found], lists)],
+            names=["node", "tokens", "sketch"],
+        )
 
 
 def signatures(n: int, tokens: np.ndarray, sets: np.ndarray, percent: int, rare: int) -> list[tuple[int, int, bool]]:
@@ -107,18 +119,19 @@ def signatures(n: int, tokens: np.ndarray, sets: np.ndarray, percent: int, rare:
     return found
 
 
-_MEMBERS = "bucket long, node long, n long, reach long, frequent boolean"
+_SKETCH = [f"s{i}" for i in range(SKETCH)]
+_MEMBERS = "bucket long, node long, n long, reach long, frequent boolean, " + ", ".join(f"{c} long" for c in _SKETCH)
 
 
 def _sign(percent: int, rare: int):
     def sign(batches):
         for batch in batches:
             rows = []
-            for node, n, shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for node, n, bits, shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 # A row that is there twice has its tokens twice.
                 tokens, at = np.unique(np.array([x["token"] for x in shared], np.int64), return_index=True)
                 sets = np.array([x["sets"] for x in shared], np.int64)[at]
-                rows += [(b, node, n, reach, frequent) for b, reach, frequent in signatures(n, tokens, sets, percent, rare)]
+                rows += [(b, node, n, reach, frequent, *bits) for b, reach, frequent in signatures(n, tokens, sets, percent, rare)]
                 if len(rows) > 50_000:
                     yield _member_batch(rows)
                     rows = []
@@ -129,11 +142,10 @@ def _sign(percent: int, rare: int):
 
 
 def _member_batch(rows):
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-        names=["bucket", "node", "n", "reach", "frequent"],
-    )
+    columns = zip(zip(*rows, strict=True), _MEMBERS.split(", "), strict=True)
+    kinds = {"long": pa.int64(), "boolean": pa.bool_()}
+    named = {name: pa.array(c, kinds[kind]) for c, (name, kind) in ((c, x.split()) for c, x in columns)}
+    return pa.RecordBatch.from_arrays(list(named.values()), names=list(named))
 
 
 def _enough(common: Column, x: Column, y: Column, percent: int) -> Column:
@@ -141,6 +153,14 @@ def _enough(common: Column, x: Column, y: Column, percent: int) -> Column:
     return F.lit(100 + percent) * common >= F.lit(percent) * (x + y)
 
 
+def _may_be_similar(percent: int, x: str, y: str) -> Column:
+    """Whether the sets of `x` and `y` (patterns of column names) can have enough in common."""
+    size = F.col(x % "n") + F.col(y % "n")
+    differing = sum((F.bit_count(F.col(x % c).bitwiseXOR(F.col(y % c))) for c in _SKETCH), F.lit(0))
+    near = F.lit(100 + percent) * (size - differing) >= F.lit(2 * percent) * size
+    return _enough(F.least(x % "reach", y % "reach"), F.col(x % "n"), F.col(y % "n"), percent) & near
+
+
 def _common(left, right):
     return left.combine(
         right, lambda x, y: len(np.intersect1d(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), assume_unique=True))
@@ -163,14 +183,20 @@ class _Sets:
         ).select("a", "b")
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes that share a bucket and may be similar, by size and reach."""
-    x = left.select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("reach").alias("ra"))
-    y = right.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("reach").alias("rb"))
-    return (
-        x.join(y, "bucket").where("a > b").where(_enough(F.least("ra", "rb"), F.col("na"), F.col("nb"), percent))
-        .select("a", "b", "na", "nb").distinct()
-    )
+def _pairs(left: DataFrame, right: DataFrame, percent: int, apart: bool = False) -> DataFrame:
+    """Pairs of nodes that share a bucket and may be similar, by size and reach.
+
+    With `apart`, only those of different components.
+    """
+    columns = ["node", "n", "reach", *_SKETCH, *(["component"] if apart else [])]
+    x, y = (side.select("bucket", *(F.col(c).alias(f"{c}_{of}") for c in columns)) for side, of in ((left, "x"), (right, "y")))
+    wanted = (x["bucket"] == y["bucket"]) & _may_be_similar(percent, "%s_x", "%s_y")
+    wanted &= F.col("component_x") != F.col("component_y") if apart else F.col("node_x") > F.col("node_y")
+    first = F.col("node_x") > F.col("node_y")
+    return x.join(y, wanted).select(
+        *(F.when(first, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y")).alias(a) for c, a in (("node", "a"), ("n", "na"))),
+        *(F.when(first, F.col(f"{c}_y")).otherwise(F.col(f"{c}_x")).alias(b) for c, b in (("node", "b"), ("n", "nb"))),
+    ).distinct()
 
 
 def _merged(of: DataFrame, links: DataFrame) -> Stored:
@@ -184,54 +210,55 @@ def _merged(of: DataFrame, links: DataFrame) -> Stored:
 
 
 def similar_sets(members: DataFrame, sets: _Sets, percent: int) -> DataFrame:
-    """Component of each node of `members` (bucket, node, n, reach, frequent), all links kept.
+    """Component of each node of `members`, rows of _MEMBERS, all links kept.
 
     A bucket of a rare token has at most RARE nodes, so its pairs are tried at once. In a bucket
     of frequent tokens every node is tried against one hub a round, if both lie in different
     components; then the hub leaves. When a round past ROUNDS links less than a tenth of what it
-    tried, pairs that share a bucket and no component are tried one by one.
+    tried or a twentieth of what all did, pairs that share a bucket and no component are tried.
     """
     nodes = members.select("node").distinct()
     first = Stored(sets.verified(Stored(_pairs(members.where("NOT frequent"), members.where("NOT frequent"), percent)).frame))
     of = _merged(Stored(nodes.select("node", F.col("node").alias("component"))).frame, first.frame)
     shared = Stored(members.where("frequent"))
-    turn = 0
+    turn = total = 0
     while True:
         turn += 1
         placed = shared.frame.join(of.frame, "node")
         order = F.xxhash64("node", F.lit(turn))
         hubs = (
             placed.groupBy("bucket").agg(
-                F.min_by(F.struct("node", "n", "reach", "component"), order).alias("hub"),
+                F.min_by(F.struct("node", "n", "reach", "component", *_SKETCH), order).alias("hub"),
                 F.min("component").alias("x"), F.max("component").alias("y"),
             ).where("x < y").select("bucket", "hub")
         )
         met = Stored(placed.join(hubs, "bucket").where("node <> hub.node"))
         tried = Stored(
             met.frame.where("component <> hub.component")
-            .where(_enough(F.least("reach", "hub.reach"), F.col("n"), F.col("hub.n"), percent))
+            .where(_may_be_similar(percent, "%s", "hub.%s"))
             .select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb")).distinct()
         )
         found = Stored(sets.verified(tried.frame))
         n, gained = tried.frame.count(), found.frame.count()
+        total += gained
         if gained:
             of = _merged(of.frame, found.frame)
-        following = Stored(met.frame.select("bucket", "node", "n", "reach", "frequent"))
+        following = Stored(met.frame.select(members.columns))
         for table in (shared, met, tried, found):
             table.drop()
         shared = following
-        if following.frame.isEmpty() or (turn >= ROUNDS and 10 * gained < n):
+        if following.frame.isEmpty() or (turn >= ROUNDS and (10 * gained < n or 20 * gained < total)):
             break
-    left = Stored(shared.frame.join(of.frame, "node"))
-    apart = Stored(
-        left.frame.join(
-            left.frame.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket"),
-            "bucket", "left_semi",
-        )
-    ).frame
-    where = of.frame.toDF("a", "ca"), of.frame.toDF("b", "cb")
-    rest = _pairs(apart, apart, percent).join(where[0], "a").join(where[1], "b").where("ca <> cb").select("a", "b", "na", "nb")
-    return _merged(of.frame, sets.verified(Stored(rest).frame)).frame
+    placed = Stored(shared.frame.join(of.frame, "node"))
+    # Of two nodes of different components one at least is not in the component of any third.
+    main = (
+        placed.frame.groupBy("bucket").agg(
+            F.min_by("component", F.xxhash64("node")).alias("main"), F.min("component").alias("x"), F.max("component").alias("y")
+        ).where("x < y").select("bucket", "main")
+    )
+    crowded = Stored(placed.frame.join(main, "bucket"))
+    rest = Stored(_pairs(crowded.frame.where("component <> main"), crowded.frame, percent, apart=True))
+    return _merged(of.frame, sets.verified(rest.frame)).frame
 
 
 def similar_documents(docs: DataFrame, percent: int = PERCENT, rare: int = RARE) -> DataFrame:
@@ -273,14 +300,15 @@ def similar_documents(docs: DataFrame, percent: int = PERCENT, rare: int = RARE)
     )
     sets = Stored(
         beside(docs, alive, ["key", "doc_id"], "inner").select("node", "text")
-        .mapInArrow(_tokens, "node long, tokens array<long>").dropDuplicates(["node"]),
+        .mapInArrow(_tokens, "node long, tokens array<long>, sketch array<long>").dropDuplicates(["node"]),
         release=True,
     )
     tokens = sets.frame.select("node", F.explode("tokens").alias("token"))
     held = tokens.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
     grouped = tokens.join(held, "token").groupBy("node").agg(F.collect_list(F.struct("token", "sets")).alias("shared"))
+    known = sets.frame.select("node", F.size("tokens").cast("long").alias("n"), "sketch")
     members = Stored(
-        grouped.join(alive.frame.select("node", "n"), "node").select("node", "n", "shared").mapInArrow(_sign(percent, rare), _MEMBERS),
+        grouped.join(known, "node").select("node", "n", "sketch", "shared").mapInArrow(_sign(percent, rare), _MEMBERS),
         release=True,
     )
     binary = Stored(sets.frame.mapInArrow(_packed, "node long, tokens binary"))
