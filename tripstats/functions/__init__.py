@@ -8,7 +8,7 @@ from tripstats.functions.calendar import (
     month_name,
     parse_timestamp,
 )
-from tripstats.functions.money import exact_add, exact_sum
+from tripstats.functions.money import exact_add, exact_sum, exact_sum_over
 from tripstats.functions.numbers import as_int, safe_ratio, share_percent, weighted_category
 from tripstats.functions.text import is_named, normalize_name, normalized
 
@@ -18,6 +18,7 @@ __all__ = [
     "day_number",
     "exact_add",
     "exact_sum",
+    "exact_sum_over",
     "is_named",
     "is_weekend",
     "iso_text",

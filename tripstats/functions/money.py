@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -34,6 +34,12 @@ def exact_sum(column: str | Column) -> Column:
     return F.sum(_cents(value)) / F.lit(100.0) + F.sum(_rest(value))
 
 
+def exact_sum_over(column: str | Column, window: WindowSpec) -> Column:
+    """`exact_sum` over a window."""
+    value = _col(column)
+    return F.sum(_cents(value)).over(window) / F.lit(100.0) + F.sum(_rest(value)).over(window)
+
+
 def exact_add(*columns: str | Column) -> Column:
     """Sum of columns of one row, in cents like `exact_sum`; null if any of them is."""
     values = [_col(c) for c in columns]

@@ -342,6 +342,13 @@ def registered() -> dict[str, str]:
             "fila"),
         "fold_total_revenue": _sql(_per_batch("month"), "jh", "jv"),
         "fold_ticket": _sql(_per_batch("city"), "jh", "jv"),
+        "maintained_total_revenue": _sql(
+            f"""SELECT CAST(c AS INTEGER) AS cortes, company_id, mes_reserva, {_double('s', 'total_valor')}
+            FROM tot, (SELECT unnest([1, 7, {BATCHES}]) AS c)""", "tot"),
+        "maintained_ticket": _sql(
+            f"""SELECT CAST(c AS INTEGER) AS cortes, company_id, cidade_destino,
+               {_double('s', 'sum_valor')}, g AS num_transacoes
+            FROM tk, (SELECT unnest([1, 7, {BATCHES}]) AS c)""", "tk"),
         "pending_partials": _pending(),
         "upsert_days": _sql(
             f"""SELECT company_id, CAST(data_reserva AS DATE) AS data_reserva,

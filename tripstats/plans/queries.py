@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstats.functions import normalize_name, weighted_category
-from tripstats.operators import checks, expand, fold, gate, lookup, ranking
+from tripstats.functions import exact_sum, normalize_name, weighted_category
+from tripstats.operators import checks, expand, fold, gate, lookup, maintain, ranking
 from tripstats.operators.rollup import flight_cube, hotel_cube, rollup
 from tripstats.operators.statistics import (
     city_revenue,
@@ -18,7 +19,7 @@ from tripstats.operators.statistics import (
     wide_statistics,
 )
 from tripstats.plans import profile, reports
-from tripstats.plans.tables import Tables
+from tripstats.plans.tables import BATCHES, Tables
 from tripstats.schemas import FLIGHT_SOURCE, HOTEL_SOURCE, STAT_TABLES, stat_table
 from tripstats.sources.messages import decode_flights, decode_hotels, rejects, usable
 
@@ -392,6 +393,37 @@ def upsert_days(t: Tables) -> DataFrame:
     return after.join(before, keys, "left")
 
 
+CUTS = (1, 7, BATCHES)
+
+
+def _cut(t: Tables, n: int) -> DataFrame:
+    """Changes of the joined totals when the reservations come in `n` batches."""
+    cubes = _cubes(t, BATCH)
+    chunk = (F.col("batch_id") % n).alias("batch_id")
+    hotels, flights = (c.select(*(x for x in c.columns if x not in BATCH), chunk) for c in cubes)
+    changes = maintain.changes_by_batch(maintain.sides(hotels, flights, ("batch_id",)))
+    return changes.select(F.lit(n).cast("int").alias("cortes"), "*")
+
+
+def _by_cuts(t: Tables, of: Callable[[DataFrame], DataFrame], table: str, also: list[str]) -> DataFrame:
+    changes = reduce(DataFrame.unionByName, (of(_cut(t, n)) for n in CUTS))
+    kept = stat_table(table)
+    amounts = [F.sum(v) if kind == "bigint" else exact_sum(v) for v, kind in kept.values.items()]
+    return changes.groupBy(*also, "company_id", *kept.keys).agg(*(a.alias(v) for a, v in zip(amounts, kept.values)))
+
+
+@_query
+def maintained_total_revenue(t: Tables) -> DataFrame:
+    """Total revenue kept up by the changes of each batch, for three ways to cut the batches."""
+    return _by_cuts(t, maintain.total_changes, "faturamentos_totais", ["cortes"])
+
+
+@_query
+def maintained_ticket(t: Tables) -> DataFrame:
+    """Ticket inputs kept up the same way; a month that comes again is no new month group."""
+    return _by_cuts(t, maintain.ticket_changes, "ticket_medio", ["cortes"])
+
+
 # --- reports ---------------------------------------------------------------------------------
 
 

@@ -5,8 +5,10 @@
     partials/batch_id=N/table=T             the eleven statistics of one processed batch
     run_log/batch_id=N                      one row; its presence commits batch N; below zero,
                                             gathered rows of folded batches
-    totals/version=K/table=T                the eleven totals
-    fold_log/version=K                      one row; its presence commits version K
+    totals/version=K/part=P/table=T         parts of the eleven totals that version K changed
+    sides/version=K/part=P                  the same of both sides of the joined totals
+    fold_log/version=K                      one row, with the version each part is of; its presence
+                                            commits version K
 
 Every folder is written by one job with a path of its own, so writing it again replaces it:
 a replayed batch or fold leaves the same result. Readers only look at what a log row commits.
@@ -14,14 +16,16 @@ a replayed batch or fold leaves the same result. Readers only look at what a log
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstats.operators.fold import one_table, pending_counts
 from tripstats.operators.gate import backlog, peek
+from tripstats.operators.maintain import SIDES, joined_totals
 from tripstats.plans import reports
 from tripstats.schemas import RUN_LOG, WIDE_SCHEMA, stat_table
 
@@ -41,11 +45,29 @@ _CUBES = {
         "sum_valor DOUBLE, num_reservas BIGINT, batch_id BIGINT"
     ),
 }
-_FOLD_LOG = "version BIGINT, up_to BIGINT, folded_at TIMESTAMP"
+_PARTS_OF = "MAP<INT, BIGINT>"  # part -> version that wrote it
+_FOLD_LOG = f"version BIGINT, up_to BIGINT, folded_at TIMESTAMP, totals {_PARTS_OF}, sides {_PARTS_OF}"
+# Totals are in so many parts, by table and company, sides by axis and company: a fold rewrites
+# the parts of the companies it has rows of.
+PARTS = 64
 
 USABLE, REJECTED = "usable", "rejected"
 
 
+def part_of(kind: str) -> Column:
+    """Part of a row by company and `kind`."""
+    return F.pmod(F.xxhash64(kind, "company_id"), F.lit(PARTS)).cast("int")
+
+
+def touched_parts(rows: DataFrame, kind: str) -> list[int]:
+    """Parts that have one of the rows; at most PARTS."""
+    return sorted(r["part"] for r in rows.select(part_of(kind).alias("part")).distinct().collect())
+
+
+def _some(versions: dict[int, int], parts: Sequence[int] | None) -> dict[int, int]:
+    return versions if parts is None else {p: versions[p] for p in parts if p in versions}
+
+
 class Store:
     """Reads and writes of one store folder, which every executor must be able to reach."""
 
@@ -53,7 +75,7 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _read(self, folder: str, schema: str, batches: range | None = None) -> DataFrame:
+    def _read(self, folder: str, schema: str, batches: Sequence[int] | None = None) -> DataFrame:
         """The folder with its partition columns, empty if nothing was ever written.
 
         `batches` names the batch folders to open, so that the others are not even listed.
@@ -67,6 +89,18 @@ class Store:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _parts(self, folder: str, schema: str, versions: dict[int, int]) -> DataFrame:
+        """The given parts, each as the version that wrote it last left it."""
+        base = f"{self.root}/{folder}"
+        if not versions:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{base}/version={version}/part={part}" for part, version in sorted(versions.items())]
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+    def _write_parts(self, frame: DataFrame, folder: str, version: int, *partitions: str) -> None:
+        """One file per part and table; a task holds a few parts."""
+        self._replace(frame.repartition("part"), f"{folder}/version={version}", "part", *partitions)
+
     def _replace(self, frame: DataFrame, folder: str, *partitions: str) -> None:
         frame.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self.root}/{folder}")
 
@@ -108,16 +142,19 @@ class Store:
         self._replace(cube, f"cubes/{kind}/batch_id={batch_id}")
         return self.cubes(kind, range(batch_id, batch_id + 1)).drop("batch_id")
 
-    def cubes(self, kind: str, batches: range | None = None) -> DataFrame:
+    def cubes(self, kind: str, batches: Sequence[int] | None = None) -> DataFrame:
         return self._read(f"cubes/{kind}", _CUBES[kind], batches)
 
     def write_partials(self, wide: DataFrame, batch_id: int) -> None:
         """All eleven partial tables in one job, so that they appear together or not at all."""
         self._replace(wide, f"partials/batch_id={batch_id}", "table")
 
-    def wide_partials(self) -> DataFrame:
-        """Partials of committed batches in wide form."""
-        partials = self._read("partials", f"{WIDE_SCHEMA}, batch_id BIGINT")
+    def wide_partials(self, batches: Sequence[int] | None = None) -> DataFrame:
+        """Partials of committed batches in wide form, of the given batches or of all."""
+        schema = f"{WIDE_SCHEMA}, batch_id BIGINT"
+        if batches is not None:
+            return self._read("partials", schema, batches)
+        partials = self._read("partials", schema)
         return partials.where(F.col("batch_id") <= self.processed_up_to())
 
     def partials(self, name: str) -> DataFrame:
@@ -163,14 +200,36 @@ class Store:
 
     # --- totals ------------------------------------------------------------------------------
 
-    def write_totals(self, wide: DataFrame, version: int, up_to: int) -> None:
-        """Write a version of all totals, then commit it."""
-        self._replace(wide, f"totals/version={version}", "table")
+    def write_totals(
+        self, wide: DataFrame | None, version: int, up_to: int, touched: Sequence[int] = (),
+        sides: DataFrame | None = None, touched_sides: Sequence[int] = (),
+    ) -> None:
+        """Write the parts of totals and sides that a version changes, then commit it.
+
+        `wide` and `sides` have all rows of the touched parts; without any nothing is written
+        but the log.
+        """
+        before = self.parts_of(version - 1)
+        if touched:
+            self._write_parts(wide.withColumn("part", part_of("table")), "totals", version, "table")
+        if touched_sides:
+            self._write_parts(sides.withColumn("part", part_of("axis")), "sides", version)
+        after = [
+            F.create_map(*(F.lit(x) for pair in (old | dict.fromkeys(new, version)).items() for x in pair))
+            for old, new in zip(before, (touched, touched_sides))
+        ]
         log = self.spark.range(1).select(
-            F.lit(up_to).cast("bigint").alias("up_to"), F.current_timestamp().alias("folded_at")
+            F.lit(up_to).cast("bigint").alias("up_to"), F.current_timestamp().alias("folded_at"),
+            *(parts.cast(_PARTS_OF).alias(name) for name, parts in zip(("totals", "sides"), after)),
         )
         self._replace(log, f"fold_log/version={version}")
 
+    def parts_of(self, version: int) -> tuple[dict[int, int], dict[int, int]]:
+        """Which version wrote each part of the totals and of the sides of a version."""
+        log = self._read("fold_log", _FOLD_LOG).where(F.col("version") == version)
+        row = log.select("totals", "sides").first()
+        return (row["totals"] or {}, row["sides"] or {}) if row else ({}, {})
+
     def folded(self) -> tuple[int, int]:
         """Version of the totals and the last batch in it; (0, -1) before the first fold."""
         log = self._read("fold_log", _FOLD_LOG)
@@ -195,8 +254,27 @@ class Store:
         )
         self._drop("run_log/batch_id", up_to, keep=gathered)
         self._drop("partials/batch_id", up_to)
-        self._drop("totals/version", version - keep_versions)
         self._drop("fold_log/version", version - keep_versions)
+        kept = self._read("fold_log", _FOLD_LOG).select("totals", "sides").collect()
+        for folder in ("totals", "sides"):  # at most PARTS for each version kept
+            used = {(v, p) for row in kept for p, v in (row[folder] or {}).items()}
+            self._drop_parts(folder, version, used)
+
+    def _drop_parts(self, folder: str, version: int, used: set[tuple[int, int]]) -> None:
+        """Delete the parts up to a version that no kept version uses."""
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}/version=*/part=*")
+        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        still, gone = {v for v, _ in used}, set()
+        for status in files.globStatus(pattern) or []:
+            path = status.getPath()
+            number = int(path.getParent().getName().split("=")[1])
+            part = int(path.getName().split("=")[1])
+            if number <= version and (number, part) not in used:
+                files.delete(path, True)
+                gone.add(number)
+        for number in gone - still:
+            files.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}/version={number}"), True)
 
     def _drop(self, folders: str, up_to: int, keep: int | None = None) -> None:
         """Delete the numbered folders `folders`=..up_to that are there, all but `keep`."""
@@ -208,12 +286,22 @@ class Store:
             if number <= up_to and number != keep:
                 files.delete(status.getPath(), True)
 
-    def wide_totals(self, version: int | None = None) -> DataFrame:
-        """Totals of the latest or a given version in wide form."""
-        if version is None:
-            version, _ = self.folded()
-        totals = self._read("totals", f"{WIDE_SCHEMA}, version BIGINT")
-        return totals.where(F.col("version") == version).drop("version")
+    def wide_totals(self, version: int | None = None, parts: Sequence[int] | None = None) -> DataFrame:
+        """Totals of the latest or a given version in wide form, whole or in some parts."""
+        versions = self.parts_of(self.folded()[0] if version is None else version)[0]
+        return self._parts("totals", WIDE_SCHEMA, _some(versions, parts))
+
+    def sides(self, version: int | None = None, parts: Sequence[int] | None = None) -> DataFrame:
+        """Both sides of the joined totals, whole or in some parts."""
+        versions = self.parts_of(self.folded()[0] if version is None else version)[1]
+        return self._parts("sides", SIDES, _some(versions, parts))
+
+    def joined(self, name: str, company: str | None = None) -> DataFrame:
+        """Total revenue or ticket inputs as if all folded messages had come in one batch."""
+        table = stat_table(name)
+        by_name = dict(zip(("stats_faturamentos_totais", "stats_ticket_medio"), joined_totals(self.sides())))
+        rows = by_name[table.name].select(*table.columns)
+        return rows if company is None else reports.of_company(rows, company)
 
     def stat(self, name: str, company: str | None = None) -> DataFrame:
         """One total table, by full or short name, of all companies or of one."""

@@ -6,31 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstats.operators.fold import fold_wide
+from tripstats.operators.maintain import merge_sides, sides
 from tripstats.operators.rollup import FLIGHT_GRAIN, HOTEL_GRAIN, reaggregate
 from tripstats.operators.statistics import all_statistics
 from tripstats.schemas import WIDE_COLUMNS
-from tripstats.sources.store import Store
+from tripstats.sources.store import Store, touched_parts
 
 
 def fold_all(store: Store, max_batches: int | None = None) -> int | None:
     """Add pending partials to the totals of all tables; the new version, None if nothing pends.
 
-    Takes the oldest `max_batches` batches at most. All tables advance in one version: readers
-    see the old totals until it is committed.
+    Takes the oldest `max_batches` batches at most and opens only their folders. Of the totals
+    only the parts with a key of these batches are read and written. All tables advance in one
+    version: readers see the old totals until it is committed. Beside the totals, both sides of
+    the joined ones are kept up, from which `Store.joined` gives them whatever the cut.
     """
     version, up_to = store.folded()
     ids = store.run_log().where(F.col("id") > up_to).select("id").orderBy("id")
-    chunk = ids.limit(max_batches) if max_batches else ids
-    last = chunk.agg(F.max("id")).first()[0]
-    if last is None:
+    pending = [r["id"] for r in (ids.limit(max_batches) if max_batches else ids).collect()]
+    if not pending:
         return None
-    partials = (
-        store.wide_partials()
-        .where((F.col("batch_id") > up_to) & (F.col("batch_id") <= last))
-        .select(*WIDE_COLUMNS)
-    )
-    totals = fold_wide(store.wide_totals(version).select(*WIDE_COLUMNS), partials)
-    store.write_totals(totals, version + 1, last)
+    partials = store.wide_partials(pending).select(*WIDE_COLUMNS)
+    touched = touched_parts(partials, "table")
+    totals = fold_wide(store.wide_totals(version, touched).select(*WIDE_COLUMNS), partials)
+    new = sides(store.cubes("hotel", pending), store.cubes("flight", pending))
+    touched_sides = touched_parts(new, "axis")
+    merged = merge_sides(store.sides(version, touched_sides), new)
+    store.write_totals(totals, version + 1, pending[-1], touched, merged, touched_sides)
     return version + 1
 
 
