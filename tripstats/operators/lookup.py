@@ -68,13 +68,26 @@ def keys_of(events: DataFrame, key: str) -> DataFrame:
     return events.select(key).where(F.col(key).isNotNull()).distinct()
 
 
+def within_ids(dim: DataFrame, events: DataFrame, key: str) -> DataFrame:
+    """Dimension rows between the lowest and the highest id of the events.
+
+    The bounds are scalar subqueries over the id column, so they reach the scan as pushed filters:
+    of a dimension written in the order of its key (`write_dimension`) only the files and row
+    groups between them are read. No row the events refer to is left out.
+    """
+    bounds = (events.select(of(key)).scalar() for of in (F.min, F.max))
+    lowest, highest = bounds
+    return dim.where((F.col(key) >= lowest) & (F.col(key) <= highest))
+
+
 def rows_in_use(dim: DataFrame, events: DataFrame, key: str) -> DataFrame:
     """Dimension rows the events refer to.
 
-    The ids are made distinct before the join, so a hot id costs one row per task. Their
-    number is not bounded, hence no broadcast hint: AQE decides from the shuffled size.
+    The scan is bounded by the events' ids first. The ids are made distinct before the join, so a
+    hot id costs one row per task. Their number is not bounded, hence no broadcast hint: AQE
+    decides from the shuffled size.
     """
-    return dim.join(keys_of(events, key), key, "left_semi")
+    return within_ids(dim, events, key).join(keys_of(events, key), key, "left_semi")
 
 
 def with_current_names(flights: DataFrame) -> DataFrame:

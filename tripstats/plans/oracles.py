@@ -443,6 +443,14 @@ def registered() -> dict[str, str]:
                    CAST(n AS INTEGER) AS noite,
                    CAST(l_shipdate AS DATE) + CAST(n AS INTEGER) AS data_reservada
             FROM lineitem, range(0, 3) r(n) WHERE n <= l_linenumber % 3""",
+        "quarantined_reservations": _sql(
+            """, regras AS (SELECT company_id, id_voo, valor, data_reserva, concat_ws(',',
+                 CASE WHEN NOT valor > 1000 THEN 'valor_over_1000' END,
+                 CASE WHEN company_id NOT IN ('F', 'O') THEN 'empresa_known' END,
+                 CASE WHEN NOT year(data_reserva) > 1992 THEN 'year_after_1992' END) AS m FROM ev)
+            SELECT company_id, id_voo, valor, data_reserva, CASE WHEN m = '' AND row_number() OVER (
+                   PARTITION BY id_voo ORDER BY m <> '', data_reserva, valor, company_id) > 1
+                 THEN 'key_unique' ELSE m END AS motivos FROM regras""", "ev"),
         "route_calendar": _sql(
             """, rotas AS (SELECT cidade_origem, cidade_destino,
                       CAST(min(data_reserva) AS DATE) AS a, CAST(max(data_reserva) AS DATE) AS z

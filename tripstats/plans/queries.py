@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstats.functions import exact_sum, normalize_name, weighted_category
-from tripstats.operators import checks, expand, fold, gate, lookup, maintain, ranking
+from tripstats.operators import checks, expand, fold, gate, lookup, maintain, quarantine, ranking
 from tripstats.operators.rollup import flight_cube, hotel_cube, rollup
 from tripstats.operators.statistics import (
     city_revenue,
@@ -597,6 +597,26 @@ def constraint_violations(t: Tables) -> DataFrame:
     return hotels.union(flights).union(stats).union(repeated)
 
 
+RESERVATION_RULES = {
+    "valor_over_1000": "valor > 1000",
+    "empresa_known": "company_id IN ('F', 'O')",
+    "year_after_1992": "year(data_reserva) > 1992",
+}
+
+
+@_query
+def quarantined_reservations(t: Tables) -> DataFrame:
+    """All flight reservations with the rules they break; a flight may be reserved once."""
+    rows = t.flight_events.drop("batch_id")
+    order = ["data_reserva", "valor", "company_id"]
+    judged = quarantine.judged(rows, RESERVATION_RULES, ["id_voo"], order)
+    kept, aside = quarantine.split(judged)
+    reasons = F.array_join("reasons", ",")
+    return kept.withColumn("motivos", F.lit("")).unionByName(
+        aside.withColumn("motivos", reasons).drop("reasons")
+    )
+
+
 @_query
 def stay_nights(t: Tables) -> DataFrame:
     stays = t.read("lineitem").select(

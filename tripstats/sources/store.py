@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripstats.operators.fold import one_table, pending_counts
@@ -106,13 +106,22 @@ class Store:
 
     # --- landed messages ---------------------------------------------------------------------
 
-    def land(self, decoded: DataFrame, batch_id: int) -> None:
-        """Keep the decoded messages of a batch; statistics only ever read these columns."""
+    def land(
+        self, decoded: DataFrame, batch_id: int, sources: Sequence[str] = ()
+    ) -> dict[str, int]:
+        """Keep the decoded messages of a batch; statistics only ever read these columns.
+
+        Returns how many messages of each of `sources` there are, observed while they are written.
+        """
         outcome = F.when(F.col("reason").isNull(), USABLE).otherwise(REJECTED)
+        counts = [F.count_if(F.col("source") == s).alias(f"n{i}") for i, s in enumerate(sources)]
+        seen = Observation()
         self._replace(
-            decoded.withColumn("outcome", outcome), f"landed/batch_id={batch_id}",
-            "source", "outcome",
+            decoded.withColumn("outcome", outcome).observe(seen, F.count(F.lit(1)).alias("n"), *counts),
+            f"landed/batch_id={batch_id}", "source", "outcome",
         )
+        found = seen.get
+        return {s: found[f"n{i}"] for i, s in enumerate(sources)}
 
     def landed(self, batches: range | None = None) -> DataFrame:
         """Landed messages, of the given batches or of all."""
