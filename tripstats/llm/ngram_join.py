@@ -24,7 +24,8 @@ WORDS = 4
 PERCENT = 85
 RARE = 32  # a token of at most so many sets is indexed alone
 SKETCH = 8  # words of 64 bits in which a set's tokens are marked
-ROUNDS = 4  # rounds at least in which crowded buckets are tried against one of their sets
+HUBS = 4  # sets of a crowded bucket against which the others are tried in a round
+ROUNDS = 3  # rounds at least in which crowded buckets are tried against some of their sets
 
 
 def shingles(text: str | None, words: WordHashes) -> np.ndarray:
@@ -213,8 +214,8 @@ def similar_sets(members: DataFrame, sets: _Sets, percent: int) -> DataFrame:
     """Component of each node of `members`, rows of _MEMBERS, all links kept.
 
     A bucket of a rare token has at most RARE nodes, so its pairs are tried at once. In a bucket
-    of frequent tokens every node is tried against one hub a round, if both lie in different
-    components; then the hub leaves. When a round past ROUNDS links less than a tenth of what it
+    of frequent tokens every node is tried against HUBS hubs a round, if both lie in different
+    components; then the hubs leave. When a round past ROUNDS links less than a tenth of what it
     tried or a twentieth of what all did, pairs that share a bucket and no component are tried.
     """
     nodes = members.select("node").distinct()
@@ -225,18 +226,26 @@ def similar_sets(members: DataFrame, sets: _Sets, percent: int) -> DataFrame:
     while True:
         turn += 1
         placed = shared.frame.join(of.frame, "node")
-        order = F.xxhash64("node", F.lit(turn))
+        hub = F.struct("node", "n", "reach", "component", *_SKETCH)
+        some = F.array(*(F.min_by(hub, F.xxhash64("node", F.lit(turn * HUBS + i))) for i in range(HUBS)))
         hubs = (
             placed.groupBy("bucket").agg(
-                F.min_by(F.struct("node", "n", "reach", "component", *_SKETCH), order).alias("hub"),
-                F.min("component").alias("x"), F.max("component").alias("y"),
-            ).where("x < y").select("bucket", "hub")
+                F.array_distinct(some).alias("hubs"), F.min("component").alias("x"), F.max("component").alias("y"),
+            ).where("x < y").select("bucket", "hubs")
+        )
+        met = Stored(placed.join(hubs, "bucket").where(~F.exists("hubs", lambda h: h["node"] == F.col("node"))))
+        # Hubs of a bucket are tried among themselves as well.
+        both = met.frame.drop("hubs").join(hubs, "bucket").unionByName(
+            hubs.select("bucket", F.explode("hubs").alias("one"), "hubs").select("bucket", "one.*", F.lit(True).alias("frequent"), "hubs")
         )
-        met = Stored(placed.join(hubs, "bucket").where("node <> hub.node"))
         tried = Stored(
-            met.frame.where("component <> hub.component")
+            both.select("*", F.explode("hubs").alias("hub")).where("component <> hub.component")
             .where(_may_be_similar(percent, "%s", "hub.%s"))
-            .select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb")).distinct()
+            .select(
+                F.greatest(F.struct("node", "n"), F.struct("hub.node", "hub.n")).alias("x"),
+                F.least(F.struct("node", "n"), F.struct("hub.node", "hub.n")).alias("y"),
+            )
+            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
         )
         found = Stored(sets.verified(tried.frame))
         n, gained = tried.frame.count(), found.frame.count()
