@@ -33,31 +33,38 @@ def grams(text: str, buckets: int) -> np.ndarray:
     return (joined * np.uint32(0x9E3779B1)) >> np.uint32(33 - buckets.bit_length())
 
 
-def mixture(p: np.ndarray) -> tuple[np.ndarray, float]:
-    """Proportions of languages by expectation-maximisation, and the log likelihood."""
+def mixture(p: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, float]:
+    """Proportions of languages by expectation-maximisation, and the log likelihood.
+
+    `p` has a row per distinct n-gram, `times` how often each occurs.
+    """
     share = np.full(p.shape[1], 1 / p.shape[1], np.float32)
+    total = times.sum()
     for _ in range(ITERATIONS):
-        new = share * ((1 / (p @ share)) @ p) / len(p)
+        new = share * ((times / (p @ share)) @ p) / total
         moved = np.abs(new - share).max()
         share = new
         if moved < 2e-3:
             break
-    return share, float(np.log(p @ share).sum())
+    return share, float(times @ np.log(p @ share))
 
 
-def languages(p: np.ndarray) -> list[tuple[int, float]]:
+def languages(p: np.ndarray, times: np.ndarray) -> list[tuple[int, float]]:
     """The set of languages with the highest penalised likelihood, largest proportion first.
 
-    `p` has the probability of each n-gram in each language. Languages join the set in order of
+    `p` has the probability of each distinct n-gram in each language. Languages join the set in order of
     their proportions in the full mixture, as long as each pays for its parameter. N-grams
     overlap, so GRAM of them count as one observation.
     """
-    order = np.argsort(-mixture(p)[0], kind="stable")
+    order = np.argsort(-mixture(p, times)[0], kind="stable")
+    size = int(times.sum())
     best, value = None, -np.inf
     for k in range(1, len(order) + 1):
         chosen = order[:k]
-        share, likelihood = mixture(np.ascontiguousarray(p[:, chosen])) if k > 1 else (np.ones(1), float(np.log(p[:, chosen[0]]).sum()))
-        now = likelihood / GRAM - 0.5 * k * np.log(len(p) + 1)
+        share, likelihood = (
+            mixture(np.ascontiguousarray(p[:, chosen]), times) if k > 1 else (np.ones(1), float(times @ np.log(p[:, chosen[0]])))
+        )
+        now = likelihood / GRAM - 0.5 * k * np.log(size + 1)
         if now <= value:
             break
         best, value = list(zip(chosen.tolist(), share.tolist(), strict=True)), now
@@ -110,9 +117,11 @@ class Languages:
                 if not names or not text or not _LETTER.search(text):
                     out.append(None)
                     continue
-                p = table[grams(text, buckets)]
+                # Distinct n-grams, of which there are no more than buckets however long the text.
+                distinct, times = np.unique(grams(text, buckets), return_counts=True)
+                p = table[distinct]
                 p /= p.max(axis=1, keepdims=True)
-                out.append([{"lang": names[i], "share": float(s)} for i, s in languages(p)])
+                out.append([{"lang": names[i], "share": float(s)} for i, s in languages(p, times.astype(np.float32))])
             return pd.Series(out)
 
         return F.pandas_udf(infer, "array<struct<lang:string,share:double>>")(F.col(text).cast("string"))
