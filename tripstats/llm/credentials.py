@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tripstats.llm.shared import Stored, beside
 
 SCOPE = 200
+SLICE = 512  # pieces of a text that are folded together, an even number
 BUCKET = 256
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -33,6 +34,11 @@ WEAK = (
 OPEN, CLOSE, OTHER = "\ue000", "\ue001", "\ue002"
 
 
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _spans(text: Column, kind: str, order: int, pattern: str, role: str) -> Column:
     """Array of (start, end, order, kind, role) of the leftmost matches that don't overlap."""
     marked = F.when(text.rlike(pattern), F.regexp_replace(text, pattern, f"{OPEN}$0{CLOSE}"))
@@ -51,8 +57,40 @@ def _spans(text: Column, kind: str, order: int, pattern: str, role: str) -> Colu
         found = F.when(match, F.concat(seen["found"], F.array(span))).otherwise(seen["found"])
         return F.struct(end.alias("at"), (~seen["odd"]).alias("odd"), found.alias("found"))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("odd"), none.alias("found"))
-    return F.coalesce(F.aggregate(F.split(marked, f"[{OPEN}{CLOSE}]", -1), start, step, lambda x: x["found"]), none)
+    def folded(pieces: Column) -> Column:
+        """Spans of the pieces of one slice, from its own start, and its length."""
+        start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("odd"), none.alias("found"))
+        return F.aggregate(pieces, start, step, lambda x: F.struct(x["at"].alias("size"), x["found"].alias("found")))
+
+    # An aggregate copies what it has found at each piece, so texts of many matches are folded
+    # slice by slice; slices have an even number of pieces and begin outside a match.
+    def sliced(pieces: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / SLICE))
+        return F.transform(numbers, lambda i: folded(F.slice(pieces, (i * SLICE + 1).cast("int"), SLICE)))
+
+    def joined(parts: Column) -> Column:
+        """Spans of slices put one after the other."""
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(
+            parts, first,
+            lambda seen, part: F.struct((seen["at"] + part["size"]).alias("at"), F.concat(seen["starts"], F.array(seen["at"])).alias("starts")),
+            lambda x: x["starts"],
+        )
+
+        def moved(by: Column, part: Column) -> Column:
+            return F.transform(
+                part["found"],
+                lambda s: F.struct(
+                    (s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["order"].alias("order"), s["kind"].alias("kind"), s["role"].alias("role")
+                ),
+            )
+
+        return F.flatten(F.zip_with(starts, parts, moved))
+
+    def spans(pieces: Column) -> Column:
+        return F.when(F.size(pieces) <= SLICE, folded(pieces)["found"]).otherwise(_let(sliced(pieces), joined))
+
+    return F.coalesce(_let(F.split(marked, f"[{OPEN}{CLOSE}]", -1), spans), none)
 
 
 def _written(spans: Column) -> Column:
@@ -107,7 +145,7 @@ def report(docs: DataFrame) -> DataFrame:
     found = Stored(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t"))
         .select(
-            "doc_id", F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0)), F.col("doc_id").isNull(), "t").alias("key"),
+            "doc_id", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "t")).alias("key"),
             *(_spans(F.col("t"), kind, i, pattern, role).alias(kind) for i, (kind, pattern, role) in enumerate(BASE + WEAK)),
         )
     ).frame
