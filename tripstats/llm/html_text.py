@@ -27,6 +27,17 @@ NAMED = frozenset(
     "sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
+# Elements whose end tag may be missing: what opens next ends them, up to an element that holds them.
+PARAGRAPH_ENDS = BLOCKS - frozenset("body caption html tbody td tfoot th thead tr".split())
+IMPLIED = {
+    **{tag: frozenset(["p"]) for tag in PARAGRAPH_ENDS},
+    "li": frozenset(["li", "p"]), "dt": frozenset(["dt", "dd", "p"]), "dd": frozenset(["dt", "dd", "p"]),
+    "option": frozenset(["option"]), "td": frozenset(["td", "th", "p"]), "th": frozenset(["td", "th", "p"]),
+    "tr": frozenset(["tr", "td", "th", "p"]), "tbody": frozenset(["thead", "tbody", "tr", "td", "th", "p"]),
+    "tfoot": frozenset(["thead", "tbody", "tr", "td", "th", "p"]),
+}
+HOLDS = frozenset("article aside blockquote body button div dl fieldset figure footer form header html main nav ol section select table td th ul".split())
+HEAD = frozenset("base basefont bgsound link meta noscript object script style template title".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FEATURES = (
     "words", "link_density", "words_before", "links_before", "words_after", "links_after", "in_article", "around"
@@ -48,6 +59,7 @@ class _Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks = [Block()]
         self.open: list[tuple[str, bool, bool, bool]] = []  # name, silent, around, article
+        self.counts: dict[str, int] = {}  # open elements of each name
 
     def _flags(self) -> tuple[bool, bool, bool]:
         return self.open[-1][1:] if self.open else (False, False, False)
@@ -67,6 +79,9 @@ class _Blocks(HTMLParser):
             else:
                 self.handle_data(" ")
             return
+        if self.counts.get("head") and tag not in HEAD and tag != "head":
+            self._close("head")
+        self._imply(tag)
         silent, around, article = self._flags()
         own = dict(attrs)
         names = re.split(r"[^a-z]+", f"{own.get('class') or ''} {own.get('id') or ''}".lower())
@@ -76,17 +91,46 @@ class _Blocks(HTMLParser):
             or ("hidden" in own and tag not in ("html", "body")) or (tag not in ("html", "body", "article", "main") and not NAMED.isdisjoint(names))
         )
         self.open.append((tag, silent or tag in SILENT, around, inside))
+        self.counts[tag] = self.counts.get(tag, 0) + 1
         if tag in BLOCKS:
             self._turn()
 
     def handle_endtag(self, tag):
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                del self.open[at:]
-                break
+        self._close(tag)
         if tag in BLOCKS:
             self._turn()
 
+    def _close(self, tag):
+        """Close the innermost element of that name and all inside it, if one is open."""
+        while self.counts.get(tag):
+            name = self.open.pop()[0]
+            self.counts[name] -= 1
+            if name == tag:
+                break
+
+    def _imply(self, tag):
+        """Close what a start tag ends, from the innermost element that holds such elements."""
+        ends = IMPLIED.get(tag)
+        if not ends or not any(self.counts.get(name) for name in ends):
+            return
+        for name, *_ in reversed(self.open):
+            if name in ends:
+                self._close(name)
+                self._imply(tag)
+                return
+            if name in HOLDS:
+                return
+
+    def parse_marked_section(self, i, report=1):
+        """Broken declarations are comments, whatever they name."""
+        return self.parse_bogus_comment(i)
+
+    def parse_html_declaration(self, i):
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in EMPTY:
@@ -97,7 +141,7 @@ class _Blocks(HTMLParser):
             return
         block = self.blocks[-1]
         block.text.append(data)
-        if any(name == "a" for name, *_ in self.open[-6:]):
+        if self.counts.get("a"):
             block.linked.append(data)
 
 
