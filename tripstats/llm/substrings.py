@@ -5,6 +5,8 @@ of all documents that share an anchor: of each window of WINDOW words, the small
 ANCHOR-word sequences. Equal windows have equal anchors, so they meet in one shard, and a part
 whose anchor no other document has meets nobody and never leaves its task.
 
+A text that an earlier document has as a whole needs no index: all its windows start there too.
+
 An anchor with more different parts than a shard should hold is not indexed: its parts are cut
 into windows, and a window's documents are found by an aggregate over all of them.
 """
@@ -57,7 +59,7 @@ def _mark(batches):
                     pa.array(np.concatenate(found)),
                     pa.array(np.repeat(np.array(ids, np.int64), [len(f) for f in found])),
                 ],
-                names=["anchor", "doc_id"],
+                names=["anchor", "row"],
             )
 
 
@@ -193,24 +195,31 @@ def first_documents(texts: list[bytes], firsts: np.ndarray) -> list[np.ndarray]:
 
 
 def _search(batches):
-    anchor, texts, firsts, keys, size = [], [], [], [], 0
+    """First documents of the windows of every run that some document has after another one."""
+    anchor, texts, firsts, lasts, keys, size = [], [], [], [], [], 0
 
     def close():
         found = first_documents(texts, np.array(firsts, np.int64))
+        met = [i for i, (own, last) in enumerate(zip(found, lasts, strict=True)) if own.min() < last]
         return pa.RecordBatch.from_arrays(
-            [pa.array(anchor, pa.int64()), pa.array(keys, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+            [
+                pa.array([anchor[i] for i in met], pa.int64()),
+                pa.array([keys[i] for i in met], pa.int64()),
+                pa.array([found[i] for i in met], pa.list_(pa.int64())),
+            ],
             names=["anchor", "key", "firsts"],
         )
 
     for batch in batches:
-        for a, key, words, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for a, key, words, first, last in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if size > SHARD_WORDS and a != anchor[-1]:
                 yield close()
-                anchor, texts, firsts, keys, size = [], [], [], [], 0
+                anchor, texts, firsts, lasts, keys, size = [], [], [], [], [], 0
             anchor.append(a)
             keys.append(key)
             texts.append(words)
             firsts.append(first)
+            lasts.append(last)
             size += words.count(b" ") + 2
     if texts:
         yield close()
@@ -220,7 +229,7 @@ def _windows(batches):
     """Windows of runs, in order, as digests: anchor, key of the run, place, digest, first document."""
     for batch in batches:
         rows = []
-        for a, key, raw, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for a, key, raw, first, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             words = raw.split(b" ")
             for x in range(len(words) - WINDOW + 1):
                 rows.append((a, key, x, xxhash.xxh3_128_digest(b" ".join(words[x : x + WINDOW])), first))
@@ -240,7 +249,7 @@ def _window_batch(rows):
 
 
 def _crowded_answers(distinct: DataFrame) -> Stored:
-    """The rows `_search` would give for runs anchor, key, words, first of any number."""
+    """The rows `_search` would give for runs anchor, key, words, first, last of any number."""
     windows = Stored(
         distinct.mapInArrow(_windows, "anchor long, key long, at int, window binary, first long"), release=True
     )
@@ -261,10 +270,12 @@ def _crowded_answers(distinct: DataFrame) -> Stored:
     return answers
 
 
-def _finish(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
+def _finish(texts: pd.Series, covered: pd.Series, copies: pd.Series) -> pd.DataFrame:
     rows = []
-    for text, runs in zip(texts, covered, strict=True):
+    for text, runs, copy in zip(texts, covered, copies, strict=True):
         words = text.encode().split() if text else []
+        if copy:
+            runs = range(max(0, len(words) - WINDOW + 1))
         gone = np.zeros(len(words) + 1, np.int64)
         for x in runs if runs is not None else ():
             gone[x] += 1
@@ -282,23 +293,41 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A null text has no words. Rows without doc_id have no place in the order: they lose nothing
     and make nothing go. Rows that repeat a doc_id are one document with those texts.
     """
-    # Rows of one id are told apart by their texts.
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("row", F.xxhash64("text"))
+    # Rows of one id are told apart by their texts; `seal` makes a digest of 128 bits of it.
+    docs = (
+        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        .withColumn("row", F.xxhash64("text")).withColumn("seal", F.xxhash64(F.lit("seal"), "text"))
+    )
     named = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    marked = Stored(named.select("doc_id", "text").mapInArrow(_mark, "anchor long, doc_id long"))
+    ids = Stored(named.select("doc_id", "row", "seal"), release=True)
+    firsts = Stored(
+        ids.frame.groupBy("row", "seal").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), release=True
+    )
+    copies = Stored(
+        ids.frame.join(firsts.frame.where("first < last").hint("merge"), ["row", "seal"])
+        .where("doc_id > first").select("doc_id", "row").distinct(),
+        release=True,
+    )
+    ids.drop()
+    marked = Stored(named.select("row", "text").mapInArrow(_mark, "anchor long, row long"))
     marks = marked.frame
+    # Sides that grow with the documents are merged at every size.
     shared = Stored(
-        marks.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("anchor"),
+        marks.groupBy("anchor").agg(F.min("row").alias("x"), F.max("row").alias("y")).where("x < y").select("anchor"),
         release=True,
     )
     wanted = Stored(
-        marks.join(shared.frame, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors")),
+        marks.join(shared.frame.hint("merge"), "anchor", "left_semi")
+        .groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
+        .join(firsts.frame.select("row", F.col("first").alias("doc_id")).hint("merge"), "row"),
         release=True,
     )
     shared.drop()
     marked.drop()
+    firsts.drop()
     runs = Stored(
-        beside(named, wanted, ["doc_id"], "inner").select("doc_id", "row", "text", "anchors")
+        named.select("doc_id", "row", "text").join(wanted.frame.hint("merge"), ["doc_id", "row"])
+        .select("doc_id", "row", "text", "anchors")
         .mapInArrow(_runs, "anchor long, doc_id long, row long, start int, words binary"),
         release=True,
     )
@@ -313,7 +342,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def distinct(how: str) -> DataFrame:
         some = beside(runs.frame, crowded, ["anchor"], how)
-        return some.groupBy("anchor", "words").agg(F.min("doc_id").alias("first")).select("anchor", key, "words", "first")
+        return (
+            some.groupBy("anchor", "words").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+            .select("anchor", key, "words", "first", "last")
+        )
 
     answers = Stored(
         distinct("left_anti").repartition("anchor").sortWithinPartitions("anchor", "key")
@@ -326,7 +358,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         answered = answered.union(others.frame)
     crowded.drop()
     covered = Stored(
-        runs.frame.select("anchor", "doc_id", "row", "start", key).join(answered, ["anchor", "key"])
+        runs.frame.select("anchor", "doc_id", "row", "start", key).join(answered.hint("merge"), ["anchor", "key"])
         .select(
             "doc_id", "row",
             F.filter(
@@ -341,8 +373,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     answers.drop()
     if others:
         others.drop()
+    gone = covered.frame.withColumn("copy", F.lit(False)).unionByName(
+        copies.frame.withColumn("starts", F.lit(None).cast("array<int>")).withColumn("copy", F.lit(True))
+    )
     finish = F.pandas_udf(_finish, "n_words long, n_removed long, kept_sha256 string, kept string")
-    return beside(docs, covered, ["doc_id", "row"], "left").select("doc_id", finish("text", "starts").alias("f")).select("doc_id", "f.*")
+    return (
+        docs.drop("seal").join(gone.hint("merge"), ["doc_id", "row"], "left")
+        .select("doc_id", finish("text", "starts", F.coalesce("copy", F.lit(False))).alias("f")).select("doc_id", "f.*")
+    )
 
 
 def report(docs: DataFrame) -> DataFrame:
