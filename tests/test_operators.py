@@ -179,10 +179,7 @@ def test_names_normalize_like_unicode_says(spark):
         return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode().lower()
 
     names = ["São Paulo", "SAO PAULO", "São Paulo", "Ñandú", "ﬁm", "½ nº 1", "Œuvre", "東京", ""]
-    # Every letter of the Latin blocks and a sample of all other planes.
-    names += [f"a{chr(c)}Z" for c in range(0x80, 0x2190)]
-    names += [f"a{chr(c)}Z" for c in range(0xFB00, 0xFB07)]
-    names += [f"a{chr(c)}Z" for c in range(0xFF01, 0xFF5F)]
+    names += [f"a{chr(c)}Z" for c in range(0x80, 0x20000) if not 0xD800 <= c < 0xE000]
     frame = spark.createDataFrame([(n,) for n in names], "n STRING").coalesce(1)
     result = dict(frame.select("n", normalize_name("n")).collect())
     assert result == {n: expected(n) for n in names}

@@ -29,12 +29,15 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--any-spelling", action="store_true")
     ingest.add_argument("--interval", help="such as '10 seconds'; default: once over all there is")
     ingest.add_argument("--files-per-batch", type=int)
+    ingest.add_argument("--clean-source", choices=("delete", "archive"), help="what becomes of files that were read")
+    ingest.add_argument("--archive", help="folder for them")
     ingest.add_argument("--hotel-threshold", type=int, default=DEFAULT_THRESHOLDS[HOTEL_SOURCE])
     ingest.add_argument("--flight-threshold", type=int, default=DEFAULT_THRESHOLDS[FLIGHT_SOURCE])
 
     fold = commands.add_parser("fold", help="partial statistics to totals")
     fold.add_argument("--max-batches", type=int)
     fold.add_argument("--prune", action="store_true", help="drop what totals have consumed")
+    fold.add_argument("--keep-batches", type=int, default=0, help="folded batches that pruning leaves whole")
 
     show = commands.add_parser("show", help="print a table of totals")
     show.add_argument("table")
@@ -59,8 +62,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
             args.any_spelling,
             {HOTEL_SOURCE: args.hotel_threshold, FLIGHT_SOURCE: args.flight_threshold},
         )
+        options = {"cleanSource": args.clean_source, "sourceArchiveDir": args.archive}
+        options = {name: value for name, value in options.items() if value}
         streams = (
-            file_messages(spark, folder, args.files_per_batch)
+            file_messages(spark, folder, args.files_per_batch, **options)
             for folder in (args.hotel_messages, args.flight_messages)
         )
         start(*streams, job, args.interval).awaitTermination()
@@ -68,7 +73,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         version = fold_all(store, args.max_batches)
         print("nothing to fold" if version is None else f"totals version {version}")
         if args.prune:
-            store.prune()
+            store.prune(keep_batches=args.keep_batches)
     else:
         rows = store.stat(args.table, args.company)
         print(*rows.columns, sep="\t")

@@ -24,9 +24,7 @@ def _ascii_of(code_point: int) -> str:
 def _fold_tables() -> tuple[str, str, dict[str, str]]:
     """Characters with one ASCII letter (from, to), and those with several.
 
-    Derived from the Unicode tables by rule. Several letters are kept for Latin ligatures,
-    digraphs, fractions and letter-like signs; squared and parenthesized forms are dropped
-    like any other character without an ASCII letter.
+    Derived from the Unicode tables by rule; other characters have no ASCII letter.
     """
     single_from, single_to, several = [], [], {}
     for code_point in range(0x80, 0x20000):  # none beyond decomposes to ASCII
@@ -36,7 +34,7 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
         if len(ascii_text) == 1:
             single_from.append(chr(code_point))
             single_to.append(ascii_text)
-        elif ascii_text and (code_point < 0x2190 or 0xFB00 <= code_point <= 0xFB06):
+        elif ascii_text:
             several[chr(code_point)] = ascii_text
     return "".join(single_from), "".join(single_to), several
 
@@ -50,9 +48,9 @@ def normalize_name(column: str | Column) -> Column:
     name = F.col(column) if isinstance(column, str) else column
     single_from, single_to, several = _fold_tables()
     letters = F.str_to_map(
-        F.lit(",".join(f"{c}:{ascii_text}" for c, ascii_text in several.items())),
-        F.lit(","),
-        F.lit(":"),
+        F.lit("\x02".join(f"{c}\x01{ascii_text}" for c, ascii_text in several.items())),
+        F.lit("\x02"),
+        F.lit("\x01"),
     )
     spelled_out = F.array_join(
         F.transform(

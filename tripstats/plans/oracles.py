@@ -451,6 +451,15 @@ def registered() -> dict[str, str]:
             SELECT company_id, id_voo, valor, data_reserva, CASE WHEN m = '' AND row_number() OVER (
                    PARTITION BY id_voo ORDER BY m <> '', data_reserva, valor, company_id) > 1
                  THEN 'key_unique' ELSE m END AS motivos FROM regras""", "ev"),
+        "folded_distinct_cities": _sql(
+            f"""SELECT company_id, count(DISTINCT cidade) AS cidades,
+               nullif(count(DISTINCT cidade) FILTER (lote <= {FOLDED_UP_TO}), 0) AS antes_cidades
+            FROM jh GROUP BY company_id""", "jh"),
+        "folded_distinct_routes": _sql(
+            f"""SELECT company_id, count(DISTINCT (cidade_origem, cidade_destino)) AS rotas,
+               nullif(count(DISTINCT (cidade_origem, cidade_destino)) FILTER (lote <= {FOLDED_UP_TO}), 0)
+                 AS antes_rotas
+            FROM jv GROUP BY company_id""", "jv"),
         "route_calendar": _sql(
             """, rotas AS (SELECT cidade_origem, cidade_destino,
                       CAST(min(data_reserva) AS DATE) AS a, CAST(max(data_reserva) AS DATE) AS z

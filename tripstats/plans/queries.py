@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstats.functions import exact_sum, normalize_name, weighted_category
-from tripstats.operators import checks, expand, fold, gate, lookup, maintain, quarantine, ranking
+from tripstats.operators import checks, distinct, expand, fold, gate, lookup, maintain, quarantine, ranking
 from tripstats.operators.rollup import flight_cube, hotel_cube, rollup
 from tripstats.operators.statistics import (
     city_revenue,
@@ -424,6 +424,29 @@ def maintained_ticket(t: Tables) -> DataFrame:
     return _by_cuts(t, maintain.ticket_changes, "ticket_medio", ["cortes"])
 
 
+def _folded_distinct(events: DataFrame, dimension: lookup.Dimension, values: list[str], name: str) -> DataFrame:
+    """Distinct values per company from bitmaps of each batch, before and after later batches."""
+    rows = lookup.enrich(events, dimension.reshaped(lambda d: distinct.numbered(d, dimension.key, values)))
+    company = ["company_id"]
+    parts = distinct.bitmaps(rows, [*company, *BATCH])
+    standing = distinct.merged(company, parts.where(F.col("batch_id") <= FOLDED_UP_TO))
+    after = distinct.merged(company, standing, parts.where(F.col("batch_id") > FOLDED_UP_TO))
+    before = distinct.counted(standing, company, f"antes_{name}")
+    return distinct.counted(after, company, name).join(before, company, "left")
+
+
+@_query
+def folded_distinct_cities(t: Tables) -> DataFrame:
+    """Cities with hotel reservations per company."""
+    return _folded_distinct(t.hotel_events, t.hotel_dim, ["cidade"], "cidades")
+
+
+@_query
+def folded_distinct_routes(t: Tables) -> DataFrame:
+    """Routes with flight reservations per company."""
+    return _folded_distinct(t.flight_events, t.flight_dim, ["cidade_origem", "cidade_destino"], "rotas")
+
+
 # --- reports ---------------------------------------------------------------------------------
 
 

@@ -5,6 +5,10 @@
     partials/batch_id=N/table=T             the eleven statistics of one processed batch
     run_log/batch_id=N                      one row; its presence commits batch N; below zero,
                                             gathered rows of folded batches
+    history/upto=N/K                        what pruned batches leave: rollups and rejects of a
+                                            range of batches that ends with N
+    history_log/upto=N                      one row, with the ranges there are; its presence commits
+                                            them, and lets the folders of batches up to N go
     totals/version=K/part=P/table=T         parts of the eleven totals that version K changed
     sides/version=K/part=P                  the same of both sides of the joined totals
     fold_log/version=K                      one row, with the version each part is of; its presence
@@ -16,7 +20,7 @@ a replayed batch or fold leaves the same result. Readers only look at what a log
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -26,6 +30,7 @@ from pyspark.sql import functions as F
 from tripstats.operators.fold import one_table, pending_counts
 from tripstats.operators.gate import backlog, peek
 from tripstats.operators.maintain import SIDES, joined_totals
+from tripstats.operators.rollup import FLIGHT_GRAIN, HOTEL_GRAIN, reaggregate
 from tripstats.plans import reports
 from tripstats.schemas import RUN_LOG, WIDE_SCHEMA, stat_table
 
@@ -51,6 +56,13 @@ _FOLD_LOG = f"version BIGINT, up_to BIGINT, folded_at TIMESTAMP, totals {_PARTS_
 # the parts of the companies it has rows of.
 PARTS = 64
 
+_GRAINS = {"hotel": HOTEL_GRAIN, "flight": FLIGHT_GRAIN}
+_REJECTS = "batch_id BIGINT, source STRING, reason STRING, value STRING"
+_HISTORY_LOG = "last BIGINT, ranges ARRAY<STRUCT<level: INT, last: BIGINT>>, upto BIGINT"
+# So many ranges of a level are gathered in one of the next: a batch's rows are rewritten once a
+# level, and the ranges grow with the logarithm of the batches.
+FAN = 4
+
 USABLE, REJECTED = "usable", "rejected"
 
 
@@ -124,17 +136,22 @@ class Store:
         return {s: found[f"n{i}"] for i, s in enumerate(sources)}
 
     def landed(self, batches: range | None = None) -> DataFrame:
-        """Landed messages, of the given batches or of all."""
-        return self._read("landed", _LANDED, batches)
+        """Landed messages, of the given batches or of all that were not pruned."""
+        if batches is not None:
+            return self._read("landed", _LANDED, batches)
+        return self._read("landed", _LANDED).where(F.col("batch_id") > self.history()[0])
 
     def waiting(self) -> DataFrame:
         """Landed messages that no committed run has processed."""
         return self.landed().where(F.col("batch_id") > self.processed_up_to())
 
     def rejects(self) -> DataFrame:
-        """Every message set aside, with its reason."""
-        rejected = self.landed().where(F.col("outcome") == REJECTED)
-        return rejected.select("batch_id", "source", "reason", "value")
+        """Every message set aside, with its reason; pruning keeps them."""
+        last, ranges = self.history()
+        rejected = self._read("landed", _LANDED).where((F.col("outcome") == REJECTED) & (F.col("batch_id") > last))
+        return self._gathered("rejects", _REJECTS, ranges).unionByName(
+            rejected.select("batch_id", "source", "reason", "value")
+        )
 
     def backlog(self) -> DataFrame:
         """Messages waiting per source."""
@@ -152,7 +169,59 @@ class Store:
         return self.cubes(kind, range(batch_id, batch_id + 1)).drop("batch_id")
 
     def cubes(self, kind: str, batches: Sequence[int] | None = None) -> DataFrame:
-        return self._read(f"cubes/{kind}", _CUBES[kind], batches)
+        """Rollups of the given batches or of all; those of pruned ones under the last of their range."""
+        if batches is not None:
+            return self._read(f"cubes/{kind}", _CUBES[kind], batches)
+        last, ranges = self.history()
+        own = self._read(f"cubes/{kind}", _CUBES[kind]).where(F.col("batch_id") > last)
+        return self._gathered(kind, _CUBES[kind], ranges).unionByName(own)
+
+    # --- pruned batches ----------------------------------------------------------------------
+
+    def history(self) -> tuple[int, list[tuple[int, int]]]:
+        """Last pruned batch and the ranges (level, last batch) that hold what is left; (-1, [])."""
+        log = self._read("history_log", _HISTORY_LOG)
+        row = log.agg(F.max_by(F.struct("last", "ranges"), "upto").alias("row")).first()["row"]
+        return (row["last"], [tuple(r) for r in row["ranges"]]) if row else (-1, [])
+
+    def _gathered(self, kind: str, schema: str, ranges: Sequence[tuple[int, int]]) -> DataFrame:
+        """One kind of what the ranges hold; there are few of them."""
+        if not ranges:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.root}/history/upto={last}/{kind}" for _, last in ranges]
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _gather(self, up_to: int) -> None:
+        """Put rollups and rejects of the batches up to one into ranges, then drop their folders.
+
+        Rollups add up, so a range has one row a key, however many batches it has. The folders
+        go after the log row that names the ranges stands; what a stop leaves goes next time.
+        """
+        last, ranges = self.history()
+        if up_to > last:
+            level, merged = 0, []
+            while sum(at == level for at, _ in ranges) >= FAN - 1:
+                merged += [r for r in ranges if r[0] == level]
+                ranges = [r for r in ranges if r[0] != level]
+                level += 1
+            ranges = [*ranges, (level, up_to)]
+            here = (F.col("batch_id") > last) & (F.col("batch_id") <= up_to)
+            for kind, grain in _GRAINS.items():
+                new = self._read(f"cubes/{kind}", _CUBES[kind]).where(here)
+                rows = self._gathered(kind, _CUBES[kind], merged).unionByName(new)
+                whole = reaggregate(rows, grain).withColumn("batch_id", F.lit(up_to).cast("bigint"))
+                self._replace(whole, f"history/upto={up_to}/{kind}")
+            aside = self._read("landed", _LANDED).where(here & (F.col("outcome") == REJECTED))
+            kept = [c.split()[0] for c in _REJECTS.split(", ")]
+            rejected = self._gathered("rejects", _REJECTS, merged).unionByName(aside.select(*kept))
+            self._replace(rejected, f"history/upto={up_to}/rejects")
+            row = self.spark.createDataFrame([(up_to, ranges)], _HISTORY_LOG.rsplit(",", 1)[0])
+            self._replace(row, f"history_log/upto={up_to}")
+            last = up_to
+        for folders in ("landed/batch_id", "cubes/hotel/batch_id", "cubes/flight/batch_id"):
+            self._drop(folders, last)
+        self._drop("history_log/upto", last - 1)
+        self._drop("history/upto", last, keep={at for _, at in ranges})
 
     def write_partials(self, wide: DataFrame, batch_id: int) -> None:
         """All eleven partial tables in one job, so that they appear together or not at all."""
@@ -245,15 +314,19 @@ class Store:
         last = log.agg(F.max(F.struct("version", "up_to")).alias("last")).first()["last"]
         return (last["version"], last["up_to"]) if last else (0, -1)
 
-    def prune(self, keep_versions: int = 2) -> None:
-        """Drop what totals have consumed: folded partials and versions before the last ones.
+    def prune(self, keep_versions: int = 2, keep_batches: int = 0) -> None:
+        """Drop what totals have consumed: folded messages, partials and versions before the last ones.
 
-        Also gathers the log rows of folded batches in one folder, numbered below zero, which
+        Landed messages and rollups of all folded batches but the last `keep_batches` numbers go;
+        their rejects stay, and their rollups as sums, from which `recomputed` still gives the
+        same. Also gathers the log rows of folded batches in one folder, numbered below zero, which
         stands before the folders it replaces go; a run that is there twice counts once. Nothing
         that is still to be read is touched, so it may stop anywhere, and run between any two
         folds.
         """
         version, up_to = self.folded()
+        if up_to >= keep_batches:
+            self._gather(up_to - keep_batches)
         single = self._read("run_log", f"{RUN_LOG}, batch_id BIGINT").where(F.col("batch_id") >= 0)
         if single.where(F.col("id") <= up_to).isEmpty():
             return
@@ -261,7 +334,7 @@ class Store:
         self._replace(
             self.run_log().where(F.col("id") <= up_to), f"run_log/batch_id={gathered}"
         )
-        self._drop("run_log/batch_id", up_to, keep=gathered)
+        self._drop("run_log/batch_id", up_to, keep={gathered})
         self._drop("partials/batch_id", up_to)
         self._drop("fold_log/version", version - keep_versions)
         kept = self._read("fold_log", _FOLD_LOG).select("totals", "sides").collect()
@@ -285,14 +358,14 @@ class Store:
         for number in gone - still:
             files.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}/version={number}"), True)
 
-    def _drop(self, folders: str, up_to: int, keep: int | None = None) -> None:
+    def _drop(self, folders: str, up_to: int, keep: Collection[int] = ()) -> None:
         """Delete the numbered folders `folders`=..up_to that are there, all but `keep`."""
         jvm = self.spark._jvm
         pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folders}=*")
         files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
         for status in files.globStatus(pattern) or []:
             number = int(status.getPath().getName().split("=")[1])
-            if number <= up_to and number != keep:
+            if number <= up_to and number not in keep:
                 files.delete(status.getPath(), True)
 
     def wide_totals(self, version: int | None = None, parts: Sequence[int] | None = None) -> DataFrame:
