@@ -61,3 +61,11 @@ def test_pipeline_keeps_columns(spark, testdata):
         assert kept.columns == docs.columns
         assert 0 < kept.count() <= docs.count()
         docs = kept
+
+
+def test_lines_beside_columns_of_the_same_names(spark):
+    rows = [(1, "a repeated line of text\nanother line", "p", 9), (2, "a repeated line of text\nsomething else", "q", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, places string, removed long")
+    found = lines.without_repeated_lines(docs)
+    assert found.columns == docs.columns
+    assert sorted(map(tuple, found.collect())) == [(1, rows[0][1], "p", 0), (2, "something else", "q", 1)]
