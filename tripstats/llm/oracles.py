@@ -103,3 +103,30 @@ within AS (
 ), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 """
+
+
+def similar_documents(words: int, percent: int, kept: bool) -> str:
+    """Documents linked by the Jaccard similarity of their shingles; equal sets are one node."""
+    verdict = ", component_id = doc_id AS kept" if kept else ""
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (
+  SELECT doc_id, w, least(len(w), {words}) AS k, unnest(range(1, len(w) - least(len(w), {words}) + 2)) AS i
+  FROM d WHERE len(w) > 0
+), shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s FROM places),
+sets AS (SELECT doc_id, count(*) AS n, sha256(string_agg(s, chr(10) ORDER BY s)) AS digest FROM shingles GROUP BY doc_id),
+nodes AS (SELECT min(doc_id) AS doc_id, digest, n FROM sets GROUP BY digest, n),
+held AS (SELECT doc_id, s, n FROM shingles JOIN nodes USING (doc_id)),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM held x JOIN held y ON x.s = y.s AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= {percent} * (x.n + y.n - count(*))
+), reach AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), lowest AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+named AS (SELECT digest, least(doc_id, coalesce(m, doc_id)) AS component FROM nodes LEFT JOIN lowest ON a = doc_id),
+found AS (
+  SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id
+  FROM d LEFT JOIN sets USING (doc_id) LEFT JOIN named USING (digest)
+)
+SELECT doc_id, n_shingles, component_id{verdict} FROM found
+"""

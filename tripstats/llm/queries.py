@@ -127,6 +127,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_substring_dedup": _SUBSTRINGS,
         "op6_decontamination": _DECONTAMINATION,
+        "op9_minhash_near_dedup": oracles.similar_documents(5, 75, kept=True),
         "op11_phrase_collocations": oracles.COLLOCATIONS,
         "op12_conversation_repair": oracles.CONVERSATIONS,
+        "op13_ngram_jaccard_join": oracles.similar_documents(4, 85, kept=False),
     }
