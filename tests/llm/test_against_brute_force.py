@@ -192,9 +192,35 @@ def test_decontamination(tables):
 
 def test_benchmark_in_blocks(tables, monkeypatch):
     docs, benchmark = tables("documents"), tables("benchmark")
-    whole = sorted(map(tuple, decontamination.report(docs, benchmark).collect()))
+    one = decontamination.with_windows(docs, benchmark).select("doc_id", "found").collect()
     monkeypatch.setattr(decontamination, "BLOCK_CHARS", 3000)
-    assert sorted(map(tuple, decontamination.report(docs, benchmark).collect())) == whole
+    several = decontamination.with_windows(docs, benchmark).select("doc_id", "found").collect()
+    assert sorted(several) == sorted(one)
+
+
+def test_spans_are_offsets_of_the_text(tables):
+    docs = tables("documents")
+    own, seen = texts(docs), 0
+    for row in decontamination.with_windows(docs, tables("benchmark")).select("doc_id", "found").collect():
+        split = decontamination.words(own[row.doc_id])
+        for words, place in zip(row.found.ranges, row.found.spans, strict=True):
+            assert decontamination.words(own[row.doc_id][place.start : place.end]) == split[words.start : words.end]
+            seen += 1
+    assert seen
+
+
+def test_blocks_beside_repeats_nulls_and_clashing_names(spark, monkeypatch):
+    item = " ".join(f"w{i}" for i in range(14))
+    benchmark = spark.createDataFrame([("a", item), ("a", item), ("b", "Ünïcode two"), ("c", None), (None, "x")], "item_id string, text string")
+    text = f"\u00e9\U0001f600 - {item.upper()}! \u00fc ünïcode; TWO"
+    rows = [(1, text, 0), (1, text, 1), (2, None, 2), (3, "", 3), (4, "x", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, found int")
+    one = sorted(decontamination.with_windows(docs, benchmark).collect())
+    spans = [(s.start, s.end) for s in one[0].found.spans]
+    assert [text[s:e] for s, e in spans] == [item.upper()]
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", 10)
+    assert sorted(decontamination.with_windows(docs, benchmark).collect()) == one
+    assert [r.doc_id for r in decontamination.decontaminated(docs, benchmark).orderBy("doc_id").collect()] == [2, 3, 4]
 
 
 def test_near_copies(tables):

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import re
+import uuid
+from functools import reduce
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstats.llm.shared import Stored
+from tripstats.llm.shared import Stored, beside
 
 WINDOW = 13
 # Benchmark characters of one automaton; a larger benchmark is searched block after block.
@@ -16,6 +20,7 @@ BLOCK_CHARS = 2_000_000
 
 # Lower-cased words hold digits, a to z and everything outside ASCII.
 _SPACED = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xFF]+")
 
 
 def words(text: str | None) -> list[bytes]:
@@ -72,70 +77,109 @@ class Automaton:
         return ranges, names
 
 
-_BUILT: dict[int, Automaton] = {}
+# The automaton of the block searched last, kept by a Python worker over its tasks.
+_BUILT: dict[str, Automaton] = {}
 
-_FOUND = "n_words long, n_hit long, ranges array<struct<start:int,end:int>>, items array<string>"
 
+def _automaton(name: str, items) -> Automaton:
+    """The automaton of a block; names are never used twice."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = Automaton(items.value)
+    return _BUILT[name]
 
-def _finder(spark, items: list[tuple[str, str]]):
-    shared = spark.sparkContext.broadcast(items)
 
+def _places(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Offsets in the text, in code points, of ranges of words."""
+    places, at, chars = [], 0, 0
+    raw = text.encode()
+    found = [m.span() for m in _WORD.finditer(raw)] if ranges else []
+    for start, end in ranges:
+        first, last = found[start][0], found[end - 1][1]
+        chars += len(raw[at:first].decode())
+        places.append((chars, chars + len(raw[first:last].decode())))
+        at, chars = last, places[-1][1]
+    return places
+
+
+_RANGES = "array<struct<start:int,end:int>>"
+_FOUND = f"n_words long, n_hit long, ranges {_RANGES}, spans {_RANGES}, items array<string>"
+_COLUMNS = ["n_words", "n_hit", "ranges", "spans", "items"]
+
+
+def _row(text: str | None, n: int, ranges: list[tuple[int, int]], names) -> tuple:
+    structs = ([{"start": s, "end": e} for s, e in found] for found in (ranges, _places(text or "", ranges)))
+    return n, sum(e - s for s, e in ranges), *structs, sorted(names)
+
+
+def _finder(name: str, shared):
     @F.pandas_udf(_FOUND)
     def find(texts: pd.Series) -> pd.DataFrame:
-        key = id(shared)
-        if key not in _BUILT:
-            _BUILT.clear()
-            _BUILT[key] = Automaton(shared.value)
-        rows = []
+        automaton, rows = _automaton(name, shared), []
         for text in texts:
             found = words(text)
-            ranges, names = _BUILT[key].scan(found)
-            rows.append((len(found), sum(e - s for s, e in ranges), [{"start": s, "end": e} for s, e in ranges], sorted(names)))
-        return pd.DataFrame(rows, columns=["n_words", "n_hit", "ranges", "items"])
+            rows.append(_row(text, len(found), *automaton.scan(found)))
+        return pd.DataFrame(rows, columns=_COLUMNS)
 
     return find
 
 
-def _blocks(benchmark: DataFrame) -> list[list[tuple[str, str]]]:
-    """The benchmark in blocks of bounded size; each is read on its own."""
-    items = Stored(
-        benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-        .where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
-    ).frame
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = 1 + total // BLOCK_CHARS
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[(r[0], r[1]) for r in items.where(block == i).orderBy("item_id", "text").collect()] for i in range(n)]
-
-
-def _merge(n_words: pd.Series, ranges: pd.Series, items: pd.Series) -> pd.DataFrame:
+def _merge(texts: pd.Series, ranges: pd.Series, items: pd.Series) -> pd.DataFrame:
+    """What blocks found in a text, as one."""
     rows = []
-    for n, found, names in zip(n_words, ranges, items, strict=True):
-        merged: list[list[int]] = []
-        for start, end in sorted((r["start"], r["end"]) for r in found):
+    for text, found, names in zip(texts, ranges, items, strict=True):
+        merged: list[tuple[int, int]] = []
+        for start, end in sorted((r["start"], r["end"]) for r in ([] if found is None else found)):
             if merged and start <= merged[-1][1]:
-                merged[-1][1] = max(end, merged[-1][1])
-            else:
-                merged.append([start, end])
-        rows.append((n, sum(e - s for s, e in merged), [{"start": s, "end": e} for s, e in merged], sorted(set(names))))
-    return pd.DataFrame(rows, columns=["n_words", "n_hit", "ranges", "items"])
+                start, end = merged[-1][0], max(end, merged.pop()[1])
+            merged.append((start, end))
+        rows.append(_row(text, len(words(text)), merged, () if names is None else set(names)))
+    return pd.DataFrame(rows, columns=_COLUMNS)
+
+
+def _block(items: DataFrame, block: Column, number: int) -> tuple[str, Broadcast]:
+    """A block as the workers get it: BLOCK_CHARS characters on average, whatever the benchmark."""
+    rows = items.where(block == number).orderBy("item_id", "text").collect()
+    return uuid.uuid4().hex, items.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in rows])
+
 
+def with_windows(docs: DataFrame, benchmark: DataFrame, name: str = "found", text: str = "text") -> DataFrame:
+    """`docs` and a column `name`: n_words, n_hit, ranges, spans, items.
 
-def found_windows(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Column:
-    """Column over `docs`: words, hit words, ranges of hit words, items with occurring windows.
+    `ranges` are runs of hit words by number, `spans` the same by offset in the original text (code
+    points, end exclusive), `items` those with occurring windows. `benchmark` has item_id, text.
+    A window is 13 consecutive words of an item; an item with fewer, but some, is one window. Null
+    texts have no words; items without id or text are left out; repeated items count once; a
+    column of that name gives way. Long texts are scanned whole.
 
-    `benchmark` has item_id, text. A window is 13 consecutive words of an item; an item with
-    fewer, but some, is one window. Null texts have no words; items without id or text are left
-    out; repeated items count once.
+    A benchmark of up to BLOCK_CHARS characters is one automaton, and every text is scanned once. A
+    larger one is cut into blocks, with one pass over the texts for each: only one block is in
+    the driver or a worker at a time, and what each finds is written down and merged by text.
     """
-    finders = [_finder(docs.sparkSession, block) for block in _blocks(benchmark)]
-    if len(finders) == 1:
-        return finders[0](F.col(text).cast("string"))
-    parts = [f(F.col(text).cast("string")) for f in finders]
-    return F.pandas_udf(_merge, _FOUND)(
-        parts[0]["n_words"], F.flatten(F.array(*[p["ranges"] for p in parts])),
-        F.flatten(F.array(*[p["items"] for p in parts])),
+    items = Stored(
+        benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+        .where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    ).frame
+    own = F.col(text).cast("string")
+    n = 1 + (items.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARS
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    if n == 1:
+        return docs.withColumn(name, _finder(*_block(items, block, 0))(own))
+    parts = []
+    texts = docs.select(F.md5(own).alias("_text"), own.alias("_own")).where("_text IS NOT NULL")
+    for number in range(n):
+        label, shared = _block(items, block, number)
+        hits = texts.select("_text", _finder(label, shared)("_own").alias("_hit")).where("_hit.n_hit > 0")
+        parts.append(Stored(hits.groupBy("_text").agg(F.first("_hit.ranges").alias("_ranges"), F.first("_hit.items").alias("_items"))))
+        shared.destroy()
+    found = Stored(
+        reduce(DataFrame.union, (part.frame for part in parts)).groupBy("_text")
+        .agg(F.flatten(F.collect_list("_ranges")).alias("_ranges"), F.flatten(F.collect_list("_items")).alias("_items"))
     )
+    for part in parts:
+        part.drop()
+    marked = beside(docs.withColumn("_text", F.md5(own)), found, ["_text"], "left")
+    return marked.withColumn(name, F.pandas_udf(_merge, _FOUND)(own, "_ranges", "_items")).drop("_text", "_ranges", "_items")
 
 
 def _joined(items: pd.Series) -> pd.Series:
@@ -148,14 +192,15 @@ def contaminated(found: Column) -> Column:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without contaminated rows; all columns stay."""
-    marked = docs.withColumn("_found_windows", found_windows(docs, benchmark))
+    marked = with_windows(docs, benchmark, "_found_windows")
     return marked.where(~contaminated(F.col("_found_windows"))).drop("_found_windows")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per row of `docs`: counts of words and hits, items, and the verdict."""
+    """One row per row of `docs` (doc_id, text): counts of words and hits, items, and the verdict."""
     found = F.col("found")
-    return docs.select(F.col("doc_id").cast("long"), found_windows(docs, benchmark).alias("found")).select(
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return with_windows(texts, benchmark).select(
         "doc_id", found["n_words"].alias("n_words"), found["n_hit"].alias("n_hit"),
         F.size(found["items"]).cast("long").alias("n_items"),
         F.pandas_udf(_joined, "string")(found["items"]).alias("items_sha256"), contaminated(found).alias("contaminated"),
