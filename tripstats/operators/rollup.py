@@ -48,7 +48,8 @@ def rollup(
 
     Small dimension: broadcast it and aggregate in the scan stage, so that what is shuffled is
     one row per group and task. Large dimension: events are first aggregated per id, which
-    reduces a hot id to a few rows before anything is joined, then join and aggregate again.
+    reduces a hot id to a few rows before anything is joined, then join and aggregate again. A
+    stream is aggregated once, after the join, so that its state is the rollup itself.
     """
     taken = {
         k: (_DATE_KEYS[k]("data_reserva").alias(k) if k in _DATE_KEYS else F.col(k))
@@ -57,7 +58,7 @@ def rollup(
     }
     from_dim = [k for k in by if k not in taken]
     slim = events.select(dim.key, *taken.values(), *(["valor"] if value else []))
-    if dim.small:
+    if dim.small or events.isStreaming:
         return slim.join(dim.side(from_dim), dim.key).groupBy(*by).agg(*_measures(value))
     per_id = slim.groupBy(dim.key, *(k for k in taken)).agg(*_measures(value))
     return reaggregate(per_id.join(dim.side(from_dim), dim.key), by)

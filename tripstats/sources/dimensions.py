@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -34,6 +35,61 @@ def write_dimension(
     frame.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
+def _bucket_folders(spark: SparkSession, path: str) -> list:
+    """File system of `path` and its folders `buckets=<n>`."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.listStatus(folder) if files.exists(folder) else []
+    return [files, [f.getPath() for f in found if f.getPath().getName().startswith("buckets=")]]
+
+
+def _table(folder: str) -> str:
+    return f"tripstats_{hashlib.sha256(folder.encode()).hexdigest()[:32]}"
+
+
+def write_bucketed(frame: DataFrame, path: str, key: str, buckets: int) -> None:
+    """A dimension in `buckets` files by the hash of its key, under `path`/buckets=<n>.
+
+    For dimensions beyond the broadcast budget that many batches join: the shuffle is paid once,
+    here. Choose `buckets` so that one fits in a task's memory, and at least
+    spark.sql.shuffle.partitions, as Spark shuffles a side with fewer; the key needs the type of the
+    events' ids, as a cast loses the buckets. What was there before goes after the new files are
+    written.
+    """
+    spark, folder = frame.sparkSession, f"{path}/buckets={buckets}"
+    table = _table(folder)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    (
+        frame.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        .mode("overwrite").option("path", folder).saveAsTable(table)
+    )
+    spark.sql(f"DROP TABLE {table}")  # its files stay
+    files, folders = _bucket_folders(spark, path)
+    for old in folders:
+        if old.getName() != f"buckets={buckets}":
+            files.delete(old, True)
+
+
+def read_bucketed(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A dimension written by `write_bucketed`, which joins on `key` don't shuffle.
+
+    Spark learns of buckets from a table only, so one is declared over the files; any session
+    can, as nothing but the folder has to be known.
+    """
+    _, folders = _bucket_folders(spark, path)
+    if len(folders) != 1:
+        raise ValueError(f"{len(folders)} bucketed tables in {path}, one expected: write it again")
+    folder = f"{path}/{folders[0].getName()}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(folder).schema)
+    table, buckets = _table(folder), int(folders[0].getName().partition("=")[2])
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+        f"INTO {buckets} BUCKETS LOCATION '{folder}'"
+    )
+    return spark.table(table)
+
+
 def _has_rows(spark: SparkSession, path: str) -> bool:
     try:
         return not spark.read.parquet(path).limit(1).isEmpty()
