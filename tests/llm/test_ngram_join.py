@@ -158,3 +158,25 @@ def test_documents(tables):
     docs = tables("documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert found(docs) == expected(rows)
+
+
+def test_near_copies_are_not_tried_in_pairs(spark, monkeypatch):
+    """Copies of one text with words exchanged: links grow with the copies, not with their square."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for d in range(30):
+        own = list(base)
+        own[rng.randrange(200)] = f"x{d}"
+        rows.append((d, " ".join(own)))
+    tried = []
+    verified = ngram_join._Sets.verified
+
+    def counted(self, pairs):
+        tried.append(pairs.count())
+        return verified(self, pairs)
+
+    monkeypatch.setattr(ngram_join._Sets, "verified", counted)
+    found = ngram_join.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.component_id for r in found} == {0}
+    assert 29 <= sum(tried) < 120  # 435 pairs
