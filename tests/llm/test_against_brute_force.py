@@ -97,6 +97,18 @@ def test_substrings(tables):
         assert (row.n_words, row.n_removed, row.kept_sha256) == (len(own), len(gone), hashlib.sha256(kept).hexdigest())
 
 
+def test_anchors_of_equal_windows():
+    rng = np.random.default_rng(3)
+    words = [rng.choice([b"a", b"\xc3\xa9t\xc3\xa9", b"b" * 70_000, b"w%d" % rng.integers(0, 9)]) for _ in range(60)]
+    blanks = [b" ", b"\n", b"\t \x0b", b"\x0c\r"]
+    text = b"".join(w + blanks[i % 4] for i, w in enumerate(words))
+    hashes = substrings.word_hashes(text)
+    assert len({(w, h) for w, h in zip(text.split(), hashes.tolist(), strict=True)}) == len(set(words)) == len(set(hashes.tolist()))
+    for x in range(0, 48, 7):
+        assert substrings.anchors(b"  " + b" ".join(words[x : x + 13])).tolist() == [substrings.anchors(text)[x]]
+    assert not len(substrings.anchors(b" ".join(words[:12]))) and not len(substrings.word_hashes(b" \n"))
+
+
 def test_crowded_anchors(spark, monkeypatch):
     rng = np.random.default_rng(5)
     phrase, passage = [f"p{i}" for i in range(12)], [f"q{i}" for i in range(16)]

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstats.llm.near_copies import _BASE, WordHashes, _mix
+from tripstats.llm.near_copies import _BASE, _mix
 from tripstats.llm.shared import Stored, beside
 
 WINDOW = 13
@@ -31,12 +31,39 @@ SHARD_WORDS = 2_000_000  # words after which a shard is closed, at the next anch
 ANCHOR_WORDS = 100_000  # words in different parts up to which an anchor is indexed
 
 
-def anchors(words: list[bytes], hashes: WordHashes) -> np.ndarray:
-    """Anchor of each window, in order."""
-    n = len(words)
+_POWERS = 1 << 16  # bytes of a text up to which powers are kept
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of _BASE and of its inverse, modulo 2**64."""
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    own = [np.full(n, x, np.uint64) for x in (_BASE, inverse)]
+    return tuple(np.multiply.accumulate(x) for x in own)
+
+
+_KEPT = _powers(_POWERS)
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hash of each word of the text, in order."""
+    raw = np.frombuffer(text, np.uint8)
+    blank = np.ones(len(raw) + 2, bool)
+    np.logical_or(raw == 32, raw - np.uint8(9) < 5, out=blank[1:-1])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _KEPT if len(raw) <= _POWERS else _powers(len(raw))
+    # Sums of bytes times powers; those of a word are the same at every place after the division.
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(raw * up[: len(raw)], out=sums[1:])
+    return _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def anchors(text: bytes) -> np.ndarray:
+    """Anchor of each window of the text's words, in order."""
+    ids = word_hashes(text)
+    n = len(ids)
     if n < WINDOW:
         return np.empty(0, np.int64)
-    ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
     grams = np.zeros(n - ANCHOR + 1, np.uint64)
     for i in range(ANCHOR):
         grams = grams * _BASE + ids[i : n - ANCHOR + 1 + i]
@@ -48,12 +75,11 @@ def anchors(words: list[bytes], hashes: WordHashes) -> np.ndarray:
 
 
 def _mark(batches):
-    hashes = WordHashes()
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             ids, found = batch.column(0).slice(at, 500).to_pylist(), []
             for text in batch.column(1).slice(at, 500):
-                found.append(np.unique(anchors((text.as_py() or "").encode().split(), hashes)))
+                found.append(np.unique(anchors((text.as_py() or "").encode())))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(found)),
@@ -65,15 +91,15 @@ def _mark(batches):
 
 def _runs(batches):
     """Runs of windows with the same, shared anchor: anchor, document, its text, first word, words."""
-    hashes = WordHashes()
     for batch in batches:
         rows = []
         ids, of = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for doc, row, text, shared in zip(ids, of, batch.column(2), batch.column(3), strict=True):
-            words = (text.as_py() or "").encode().split()
-            own = anchors(words, hashes)
+            raw = (text.as_py() or "").encode()
+            own = anchors(raw)
             if not len(own):
                 continue
+            words = raw.split()
             cuts = np.flatnonzero(np.diff(own)) + 1
             starts = np.concatenate([[0], cuts])
             ends = np.concatenate([cuts, [len(own)]])
