@@ -146,6 +146,40 @@ def test_crowded_anchors(spark, monkeypatch):
     assert sum(n for n, _ in expected.values()) > 1000
 
 
+def test_repeated_windows_of_a_run_are_one_row(spark, monkeypatch):
+    rows = [(d, f"s{d} " + "a b " * (40 + d) + f"e{d} " + "c " * 30) for d in range(12)]
+    made, crowded = [], substrings._windows
+
+    def watched(batches):
+        for batch in crowded(batches):
+            found = batch.num_rows, len(set(zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column("window").to_pylist(), strict=True)))
+            assert found[0] == found[1]
+            yield batch
+
+    stored = substrings.Stored
+
+    def counted(frame, *args, **options):
+        table = stored(frame, *args, **options)
+        made.extend([table.frame.count()] if "window" in frame.columns and "key" in frame.columns else [])
+        return table
+
+    monkeypatch.setattr(substrings, "_windows", watched)
+    monkeypatch.setattr(substrings, "Stored", counted)
+    monkeypatch.setattr(substrings, "ANCHOR_WORDS", 50)
+    first, expected = {}, {}
+    for d, text in rows:
+        words = text.split()
+        gone = set()
+        for i in range(len(words) - 12):
+            if first.setdefault(tuple(words[i : i + 13]), d) < d:
+                gone.update(range(i, i + 13))
+        expected[d] = (len(gone), sha(" ".join(w for i, w in enumerate(words) if i not in gone)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in substrings.report(docs).collect()} == expected
+    # A document has 30 different windows at most, and 80 and more in all.
+    assert len(made) == 1 and 0 < made[0] <= 30 * len(rows)
+
+
 def test_packing(tables):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -252,13 +252,20 @@ def _search(batches):
 
 
 def _windows(batches):
-    """Windows of runs, in order, as digests: anchor, key of the run, place, digest, first document."""
+    """Different windows of each run as digests: anchor, key of the run, digest, its places, first document.
+
+    A run is as long as its anchor comes again within WINDOW words, so of a long one most
+    windows are repeats.
+    """
     for batch in batches:
         rows = []
         for a, key, raw, first, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             words = raw.split(b" ")
+            places: dict[bytes, list[int]] = {}
             for x in range(len(words) - WINDOW + 1):
-                rows.append((a, key, x, xxhash.xxh3_128_digest(b" ".join(words[x : x + WINDOW])), first))
+                places.setdefault(xxhash.xxh3_128_digest(b" ".join(words[x : x + WINDOW])), []).append(x)
+            for window, at in places.items():
+                rows.append((a, key, window, at, first))
                 if len(rows) == 50_000:
                     yield _window_batch(rows)
                     rows = []
@@ -267,17 +274,17 @@ def _windows(batches):
 
 
 def _window_batch(rows):
-    types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
+    types = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int64())
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-        names=["anchor", "key", "at", "window", "first"],
+        names=["anchor", "key", "window", "places", "first"],
     )
 
 
 def _crowded_answers(distinct: DataFrame) -> Stored:
     """The rows `_search` would give for runs anchor, key, words, first, last of any number."""
     windows = Stored(
-        distinct.mapInArrow(_windows, "anchor long, key long, at int, window binary, first long"), release=True
+        distinct.mapInArrow(_windows, "anchor long, key long, window binary, places array<int>, first long"), release=True
     )
     # Most windows are in one run only; these keep that run's first document.
     met = Stored(
@@ -285,10 +292,11 @@ def _crowded_answers(distinct: DataFrame) -> Stored:
         .where("n > 1").select("window", "low"),
         release=True,
     )
+    placed = F.transform("found", lambda w: F.transform(w["places"], lambda at: F.struct(at.alias("at"), w["first"].alias("first"))))
     answers = Stored(
         beside(windows.frame, met, ["window"], "left").groupBy("anchor", "key")
-        .agg(F.sort_array(F.collect_list(F.struct("at", F.least("first", "low").alias("first")))).alias("found"))
-        .select("anchor", "key", F.col("found.first").alias("firsts")),
+        .agg(F.collect_list(F.struct("places", F.least("first", "low").alias("first"))).alias("found"))
+        .select("anchor", "key", F.sort_array(F.flatten(placed)).getField("first").alias("firsts")),
         release=True,
     )
     windows.drop()
