@@ -180,3 +180,20 @@ def test_near_copies_are_not_tried_in_pairs(spark, monkeypatch):
     found = ngram_join.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {r.component_id for r in found} == {0}
     assert 29 <= sum(tried) < 120  # 435 pairs
+
+
+def test_pairs_of_many_buckets_are_made_once(spark):
+    """Of sets of different components each pair that shares a bucket, without `distinct`."""
+    rng = random.Random(8)
+    component = [rng.randrange(6) for _ in range(40)]
+    held = {b: sorted(rng.sample(range(40), 12)) for b in range(10)}
+    of = {node: [b for b in held if node in held[b]] for node in range(40)}
+    rows = [
+        (b, node, 100, 100, True, *[0] * ngram_join.SKETCH, component[node], component[held[b][0]], of[node])
+        for b in held for node in held[b]
+    ]
+    crowded = spark.createDataFrame(rows, ngram_join._MEMBERS + ", component long, main long, buckets array<long>")
+    found = ngram_join._pairs(crowded.where("component <> main"), crowded, 80, apart=True, once=True)
+    assert "Aggregate" not in found._jdf.queryExecution().toString()
+    expected = {(x, y) for x in of for y in of if x > y and component[x] != component[y] and set(of[x]) & set(of[y])}
+    assert sorted((r.a, r.b) for r in found.collect()) == sorted(expected)
